@@ -139,3 +139,281 @@ SELECT transaction_time, type, amount, "oldbalanceOrg", "newbalanceOrig",
 FROM silver""")
 def q_trends_detailed(spark, sf_dir):
     return gold.transaction_trends(_silver(spark, sf_dir))
+
+
+# ------------------------------------------------------------ quality checks
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerline.operators import quality  # noqa: E402
+from ledgerline.schemas import FEEDS, SILVER_COLUMNS, STEP  # noqa: E402
+from ledgerline.session import scratch_path  # noqa: E402
+from ledgerline.sinks import writers  # noqa: E402
+from ledgerline.sources import feeds as feed_src  # noqa: E402
+from ledgerline.sources import files as file_src  # noqa: E402
+from ledgerline.sources.sample import sample_customers  # noqa: E402
+from ledgerline.operators import profile  # noqa: E402
+from ledgerline.plans import gold_job, profile_job, silver_job, split_job  # noqa: E402
+from ledgerline.streaming import silver_stream as stream  # noqa: E402
+
+FIXED_PROCESSED_AT = "2025-01-01 00:00:00"   # fixed job time for repeatable output
+RETENTION_AS_OF = "2025-01-20 00:00:00"
+BATCH_DAY = list(range(1, 25))                # steps 1..24: the first day
+
+
+def _faulty(spark, sf_dir):
+    return dict(zip(FEEDS, mapping.feeds(spark, sf_dir, faulty=True)))
+
+
+_PRESENCE = O.FAULTY + """, keys AS (
+  SELECT transaction_id, step, 'transactions' AS feed FROM tx
+  UNION ALL SELECT transaction_id, step, 'accounts' FROM acct_f
+  UNION ALL SELECT transaction_id, step, 'fraud' FROM fraud_f
+), pres AS (
+  SELECT transaction_id, step,
+         count(*) FILTER (WHERE feed = 'transactions') AS n_transactions,
+         count(*) FILTER (WHERE feed = 'accounts') AS n_accounts,
+         count(*) FILTER (WHERE feed = 'fraud') AS n_fraud
+  FROM keys GROUP BY 1, 2
+)
+"""
+
+
+@register("unmatched_rows", _PRESENCE + """
+SELECT transaction_id, step, 'transactions' AS missing_feed FROM pres WHERE n_transactions = 0
+UNION ALL SELECT transaction_id, step, 'accounts' FROM pres WHERE n_accounts = 0
+UNION ALL SELECT transaction_id, step, 'fraud' FROM pres WHERE n_fraud = 0""")
+def q_unmatched_rows(spark, sf_dir):
+    return quality.unmatched_keys(_faulty(spark, sf_dir))
+
+
+@register("duplicate_keys", _PRESENCE + """
+SELECT 'transactions' AS feed, transaction_id, step, n_transactions AS copies FROM pres WHERE n_transactions > 1
+UNION ALL SELECT 'accounts', transaction_id, step, n_accounts FROM pres WHERE n_accounts > 1
+UNION ALL SELECT 'fraud', transaction_id, step, n_fraud FROM pres WHERE n_fraud > 1""")
+def q_duplicate_keys(spark, sf_dir):
+    return quality.duplicate_keys(_faulty(spark, sf_dir))
+
+
+@register("feed_completeness", O.FAULTY + """, steps AS (
+  SELECT step, 1 AS f FROM tx UNION ALL SELECT step, 2 FROM acct_f UNION ALL SELECT step, 4 FROM fraud_f
+)
+SELECT step, bool_or(f = 1) AS has_transactions, bool_or(f = 2) AS has_accounts,
+       bool_or(f = 4) AS has_fraud,
+       bool_or(f = 1) AND bool_or(f = 2) AND bool_or(f = 4) AS complete
+FROM steps GROUP BY step""")
+def q_feed_completeness(spark, sf_dir):
+    return quality.feed_completeness(_faulty(spark, sf_dir))
+
+
+@register("split_reconcile", O.with_ctes(O.RAW_CTE) + """
+SELECT f.feed, n.rows_in, n.rows_in AS rows_out, cast(0 AS BIGINT) AS missing,
+       n.batches, true AS ok
+FROM (VALUES ('transactions'), ('accounts'), ('fraud')) f(feed),
+     (SELECT count(*) AS rows_in, count(DISTINCT step) AS batches FROM raw) n""")
+def q_split_reconcile(spark, sf_dir):
+    out = scratch_path(spark, "split")
+    return split_job.run_split(spark, mapping.raw_table(spark, sf_dir), out)
+
+
+# ----------------------------------------------------- quality flag queries
+
+@register("corrupt_rows", O.SILVER + "SELECT * FROM silver WHERE is_corrupt")
+def q_corrupt_rows(spark, sf_dir):
+    return quality.corrupt_rows(_silver(spark, sf_dir))
+
+
+@register("corrupt_rate", O.SILVER + """
+SELECT type, count(is_corrupt) AS rows, count(*) FILTER (WHERE is_corrupt) AS corrupt_rows,
+       cast(count(*) FILTER (WHERE is_corrupt) AS DOUBLE) / count(is_corrupt) AS corrupt_rate
+FROM silver GROUP BY type""")
+def q_corrupt_rate(spark, sf_dir):
+    return quality.corrupt_rate(_silver(spark, sf_dir))
+
+
+@register("retention_expired", O.SILVER + f"""
+SELECT * FROM silver
+WHERE transaction_time < timestamp '{RETENTION_AS_OF}' - INTERVAL 7 DAY""")
+def q_retention_expired(spark, sf_dir):
+    return quality.expired(_silver(spark, sf_dir), "transaction_time", RETENTION_AS_OF, 7)
+
+
+# ------------------------------------------- bronze files, silver table I/O
+
+def _bronze(spark, sf_dir, fmt="csv") -> str:
+    root = scratch_path(spark, "bronze")
+    writers.write_feeds(dict(zip(FEEDS, mapping.feeds(spark, sf_dir))), root, fmt)
+    return root
+
+
+def _silver_table(spark, sf_dir, mode="replace", times=1) -> str:
+    bronze = _bronze(spark, sf_dir)
+    path = scratch_path(spark, "silver")
+    for _ in range(times):
+        silver_job.run_silver(spark, bronze, path, mode=mode)
+    return path
+
+
+def _read_silver(spark, path):
+    return file_src.read_table(spark, path).select(*SILVER_COLUMNS)
+
+
+@register("feed_scan", O.BASE + """
+SELECT transaction_id, step, type, amount, origin_account_id, dest_account_id FROM tx""")
+def q_feed_scan(spark, sf_dir):
+    return feed_src.read_feed(spark, _bronze(spark, sf_dir), "transactions")
+
+
+@register("batch_select", O.SILVER + f"""
+SELECT * FROM silver WHERE step BETWEEN {BATCH_DAY[0]} AND {BATCH_DAY[-1]}""")
+def q_batch_select(spark, sf_dir):
+    bronze = _bronze(spark, sf_dir)
+    path = scratch_path(spark, "silver")
+    silver_job.run_silver(spark, bronze, path, steps=BATCH_DAY)
+    return _read_silver(spark, path)
+
+
+@register("bronze_landing", O.BASE + """
+SELECT 'transactions' AS feed, step, count(*) AS rows FROM tx GROUP BY step
+UNION ALL SELECT 'accounts', step, count(*) FROM acct GROUP BY step
+UNION ALL SELECT 'fraud', step, count(*) FROM fraud GROUP BY step""")
+def q_bronze_landing(spark, sf_dir):
+    src = _bronze(spark, sf_dir)
+    dst = scratch_path(spark, "landed")
+    feeds = {f: feed_src.read_feed(spark, src, f, with_source_file=True) for f in FEEDS}
+    writers.land_batch(spark, feeds, dst)
+    out = None
+    for f in FEEDS:
+        part = (feed_src.read_feed(spark, dst, f, fmt="parquet").groupBy(STEP)
+                .agg(F.count(F.lit(1)).alias("rows"))
+                .select(F.lit(f).alias("feed"), STEP, "rows"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("silver_scan", O.SILVER + "SELECT * FROM silver")
+def q_silver_scan(spark, sf_dir):
+    return _read_silver(spark, _silver_table(spark, sf_dir))
+
+
+@register("silver_append", O.SILVER + "SELECT * FROM silver UNION ALL SELECT * FROM silver")
+def q_silver_append(spark, sf_dir):
+    return _read_silver(spark, _silver_table(spark, sf_dir, "append", times=2))
+
+
+@register("silver_replace", O.SILVER + "SELECT * FROM silver")
+def q_silver_replace(spark, sf_dir):
+    return _read_silver(spark, _silver_table(spark, sf_dir, "replace", times=2))
+
+
+@register("silver_count", O.SILVER + "SELECT count(*) AS rows FROM silver")
+def q_silver_count(spark, sf_dir):
+    return quality.row_count(_read_silver(spark, _silver_table(spark, sf_dir)))
+
+
+@register("silver_preview", O.SILVER + "SELECT * FROM silver ORDER BY transaction_id LIMIT 20")
+def q_silver_preview(spark, sf_dir):
+    return quality.preview(_read_silver(spark, _silver_table(spark, sf_dir)), 20,
+                           by=["transaction_id"])
+
+
+_SILVER_TYPES = [("transaction_id", "string"), ("step", "int"), ("type", "string"),
+                 ("amount", "double"), ("origin_account_id", "string"),
+                 ("dest_account_id", "string"), ("oldbalanceOrg", "double"),
+                 ("newbalanceOrig", "double"), ("oldbalanceDest", "double"),
+                 ("newbalanceDest", "double"), ("isFraud", "int"),
+                 ("isFlaggedFraud", "int"), ("transaction_time", "timestamp_ntz"),
+                 ("is_corrupt", "boolean")]
+
+
+@register("silver_schema", "SELECT * FROM (VALUES " + ", ".join(
+    f"({i + 1}, '{n}', '{t}', true)" for i, (n, t) in enumerate(_SILVER_TYPES))
+    + ") v(position, name, type, nullable)")
+def q_silver_schema(spark, sf_dir):
+    return quality.describe_schema(_read_silver(spark, _silver_table(spark, sf_dir)))
+
+
+# ------------------------------------------------------- generic profile job
+
+_SAMPLE_SQL = """
+-- the generator's modulo is a floor modulo (ids may start at 0)
+SELECT c_custkey AS id, concat('Customer_', c_custkey) AS name,
+       cast(20 + (((c_custkey - 1) % 50) + 50) % 50 AS INTEGER) AS age,
+       ['New York', 'Los Angeles', 'Chicago', 'Houston', 'Phoenix'][((((c_custkey - 1) % 5) + 5) % 5) + 1] AS city,
+       100.0::DOUBLE + cast(c_custkey - 1 AS DOUBLE) * 10.5 AS purchase_amount,
+       strftime(DATE '2024-01-01' + cast(c_custkey - 1 AS INTEGER), '%Y-%m-%d') AS purchase_date,
+       ['Electronics', 'Clothing', 'Food', 'Books', 'Sports'][((((c_custkey - 1) % 5) + 5) % 5) + 1] AS category,
+       cast(70 + (((c_custkey - 1) % 30) + 30) % 30 AS INTEGER) AS score
+FROM customer"""
+
+
+def _customer_ids(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.col("c_custkey").alias("id"))
+
+
+@register("sample_customers", _SAMPLE_SQL)
+def q_sample_customers(spark, sf_dir):
+    return sample_customers(_customer_ids(spark, sf_dir))
+
+
+def _sample_csv(spark, sf_dir) -> str:
+    path = scratch_path(spark, "sample_csv")
+    writers.write_any(sample_customers(_customer_ids(spark, sf_dir)), path, "csv")
+    return path
+
+
+@register("profile_csv", f"""
+WITH s AS ({_SAMPLE_SQL})
+SELECT cast(id AS INTEGER) AS id, name, age, city, purchase_amount,
+       cast(purchase_date AS DATE) AS purchase_date, category, score,
+       timestamp '{FIXED_PROCESSED_AT}' AS processed_timestamp,
+       'spark_airflow_job' AS processing_job, cast(id AS BIGINT) * 2 AS row_id,
+       upper(name) AS name_upper, upper(city) AS city_upper, upper(category) AS category_upper
+FROM s""")
+def q_profile_csv(spark, sf_dir):
+    return profile_job.profile_frame(spark, _sample_csv(spark, sf_dir), "csv",
+                                     FIXED_PROCESSED_AT)
+
+
+@register("profile_json", O.BASE + f"""
+SELECT transaction_id, cast(step AS BIGINT) AS step, type, amount, origin_account_id,
+       dest_account_id, timestamp '{FIXED_PROCESSED_AT}' AS processed_timestamp,
+       'spark_airflow_job' AS processing_job, count(*) OVER () AS record_count
+FROM tx""")
+def q_profile_json(spark, sf_dir):
+    path = scratch_path(spark, "tx_json")
+    tx = mapping.feeds(spark, sf_dir)[0]
+    writers.write_any(tx, path, "json")
+    return profile_job.profile_frame(spark, path, "json", FIXED_PROCESSED_AT)
+
+
+def _profiled_output(spark, sf_dir) -> str:
+    out = scratch_path(spark, "profiled")
+    profile_job.run_profile(spark, _sample_csv(spark, sf_dir), out, "csv",
+                            FIXED_PROCESSED_AT)
+    return out
+
+
+@register("output_inventory")
+def q_output_inventory(spark, sf_dir):
+    out = _profiled_output(spark, sf_dir)
+    inv = file_src.file_inventory(spark, out)
+    return file_src.inventory_summary(inv.filter(F.col("file_path").endswith(".csv")))
+
+
+@register("output_preview")
+def q_output_preview(spark, sf_dir):
+    return file_src.first_lines(spark, _profiled_output(spark, sf_dir), 5)
+
+
+# ---------------------------------------------------------------- streaming
+
+@register("silver_stream", O.SILVER + "SELECT * FROM silver")
+def q_silver_stream(spark, sf_dir):
+    bronze = _bronze(spark, sf_dir, fmt="parquet")
+    sink = scratch_path(spark, "silver_stream")
+    ckpt = scratch_path(spark, "silver_stream_ckpt")
+    stream.run_silver_stream_once(spark, bronze, sink, ckpt, fmt="parquet",
+                                  watermark="2 hours")
+    return _read_silver(spark, sink)
