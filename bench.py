@@ -46,6 +46,8 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", "ledgerline-bench", conf={
         "spark.sql.shuffle.partitions": str(max(int(cpus), 1) * 2),
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+        # one listing task per core, not one per step directory
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": cpus,
     })
     spark.sparkContext.setLogLevel("ERROR")
     results = {}

@@ -23,7 +23,7 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_path: str,
     tx, acct, fraud = read_feeds(spark, bronze_root, steps, bronze_fmt)
     silver = build_silver(tx, acct, fraud, on, jitter)
     obs = Observation("silver_batch")
-    silver = silver.observe(obs, F.count(F.lit(1)).alias("rows"),
-                            F.count(F.when(F.col("is_corrupt"), 1)).alias("corrupt_rows"))
-    write_batch(silver, silver_path, mode=mode, fmt=silver_fmt)
+    metrics = (obs, F.count(F.lit(1)).alias("rows"),
+               F.count(F.when(F.col("is_corrupt"), 1)).alias("corrupt_rows"))
+    write_batch(silver, silver_path, mode=mode, fmt=silver_fmt, observe=metrics)
     return dict(obs.get)

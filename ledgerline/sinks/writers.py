@@ -36,18 +36,23 @@ def _clustered(df: DataFrame, by: list[str], partitions: int | None) -> DataFram
 def write_batch(df: DataFrame, path: str, mode: str = "replace", fmt: str = "parquet",
                 partition_by: Iterable[str] = (STEP,), cluster_by: Iterable[str] = (KEY,),
                 cluster: bool = True, partitions: int | None = None,
-                max_records_per_file: int | None = None) -> None:
+                max_records_per_file: int | None = None,
+                observe: tuple | None = None) -> None:
     """Write a batch of a step-partitioned table.
 
     ``replace``: overwrite only the partitions present in ``df`` (a step that
     became empty is not cleared). ``append``: add rows; running the same
-    step twice then duplicates it.
+    step twice then duplicates it. ``observe=(Observation, *metrics)`` is
+    attached right before the write, above the clustering shuffle, so the
+    range partitioner's sampling pass does not count rows a second time.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
     parts = list(partition_by)
     if cluster and parts:
         df = _clustered(df, parts + [c for c in cluster_by if c in df.columns], partitions)
+    if observe:
+        df = df.observe(*observe)
     w = df.write.format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
