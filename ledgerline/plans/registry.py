@@ -415,5 +415,6 @@ def q_silver_stream(spark, sf_dir):
     sink = scratch_path(spark, "silver_stream")
     ckpt = scratch_path(spark, "silver_stream_ckpt")
     stream.run_silver_stream_once(spark, bronze, sink, ckpt, fmt="parquet",
-                                  watermark="2 hours")
+                                  watermark="2 hours",
+                                  state_partitions=spark.sparkContext.defaultParallelism)
     return _read_silver(spark, sink)

@@ -22,22 +22,35 @@ from ledgerline.schemas import FEEDS, KEY, STEP
 WRITE_MODES = ("replace", "append")
 
 
-def _clustered(df: DataFrame, by: list[str], partitions: int | None) -> DataFrame:
-    """Range-cluster rows so each task writes few partition directories.
+LAYOUTS = ("range", "rebalance")
 
-    A plain ``repartition(step)`` would send one hot step to one task; the
-    range partitioner also splits on the secondary key, so a hot step is
-    spread over many tasks (and files) instead.
+
+def _clustered(df: DataFrame, by: list[str], secondary: list[str],
+               partitions: int | None, layout: str = "range") -> DataFrame:
+    """Lay rows out so each write task covers few partition directories.
+
+    ``range`` (default): range-partition on ``by + secondary`` into
+    ``partitions`` tasks (default ``spark.sql.shuffle.partitions``); the
+    secondary key lets the range bounds cut through a hot step, so one step
+    never has to fit one task. ``rebalance``: the ``REBALANCE`` hint; AQE
+    sizes the tasks by bytes and splits skewed steps itself (fewer files, but
+    fewer tasks for small data). A plain ``repartition(step)`` would put a
+    hot step into a single task.
     """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    if layout == "rebalance":
+        return df.hint("rebalance", *by) if partitions is None else \
+            df.hint("rebalance", partitions, *by)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *by)
+    return df.repartitionByRange(n, *(by + secondary))
 
 
 def write_batch(df: DataFrame, path: str, mode: str = "replace", fmt: str = "parquet",
                 partition_by: Iterable[str] = (STEP,), cluster_by: Iterable[str] = (KEY,),
                 cluster: bool = True, partitions: int | None = None,
                 max_records_per_file: int | None = None,
-                observe: tuple | None = None) -> None:
+                observe: tuple | None = None, layout: str = "range") -> None:
     """Write a batch of a step-partitioned table.
 
     ``replace``: overwrite only the partitions present in ``df`` (a step that
@@ -50,7 +63,8 @@ def write_batch(df: DataFrame, path: str, mode: str = "replace", fmt: str = "par
         raise ValueError(f"mode must be one of {WRITE_MODES}")
     parts = list(partition_by)
     if cluster and parts:
-        df = _clustered(df, parts + [c for c in cluster_by if c in df.columns], partitions)
+        df = _clustered(df, parts, [c for c in cluster_by if c in df.columns], partitions,
+                        layout)
     if observe:
         df = df.observe(*observe)
     w = df.write.format(fmt)

@@ -60,11 +60,15 @@ def start_silver_stream(spark: SparkSession, bronze_root: str, sink_path: str,
                         watermark: str | None = None,
                         max_files_per_trigger: int | None = None,
                         available_now: bool = True,
-                        processing_time: str | None = None) -> StreamingQuery:
+                        processing_time: str | None = None,
+                        state_partitions: int | None = None) -> StreamingQuery:
     """Start the stream into a parquet table at ``sink_path``.
 
     ``available_now`` processes what is there and stops (incremental batch);
     otherwise ``processing_time`` sets a micro-batch interval.
+    ``state_partitions`` fixes the number of join-state partitions for a new
+    checkpoint (default: the session's ``spark.sql.shuffle.partitions``);
+    Spark keeps the number stored in an existing checkpoint.
     """
     feeds = [feed_stream(spark, bronze_root, f, fmt, max_files_per_trigger)
              for f in FEED_SCHEMAS]
@@ -76,15 +80,25 @@ def start_silver_stream(spark: SparkSession, bronze_root: str, sink_path: str,
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, previous)
 
 
 def run_silver_stream_once(spark: SparkSession, bronze_root: str, sink_path: str,
                            checkpoint: str, fmt: str = "parquet",
                            watermark: str | None = None,
-                           timeout_s: float | None = 600) -> dict:
-    """One incremental run; returns the last progress' row counts."""
-    q = start_silver_stream(spark, bronze_root, sink_path, checkpoint, fmt, watermark)
+                           timeout_s: float | None = 600,
+                           state_partitions: int | None = None) -> dict:
+    """One incremental run; returns the number of micro-batches and input rows."""
+    q = start_silver_stream(spark, bronze_root, sink_path, checkpoint, fmt, watermark,
+                            state_partitions=state_partitions)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()

@@ -129,3 +129,12 @@ def test_silver_columns_after_round_trip(spark, scratch):
     back = file_src.read_table(spark, scratch + "/s")
     assert sorted(back.columns) == sorted(SILVER_COLUMNS)
     assert {r["step"] for r in back.select("step").distinct().collect()} <= {1, 2, 3}
+
+
+def test_rebalance_layout_writes_same_rows(spark, scratch):
+    df = spark.range(3000).selectExpr("cast(id as string) as transaction_id",
+                                      "cast(case when id < 2000 then 1 else id % 7 end as int) as step")
+    writers.write_batch(df, scratch + "/rb", layout="rebalance")
+    writers.write_batch(df, scratch + "/rg", partitions=5)
+    a, b = file_src.read_table(spark, scratch + "/rb"), file_src.read_table(spark, scratch + "/rg")
+    assert a.count() == 3000 and a.exceptAll(b.select(*a.columns)).count() == 0
