@@ -64,6 +64,8 @@ def start_silver_stream(spark: SparkSession, bronze_root: str, sink_path: str,
                         state_partitions: int | None = None) -> StreamingQuery:
     """Start the stream into a parquet table at ``sink_path``.
 
+    The three feed folders must exist (they may be empty).
+
     ``available_now`` processes what is there and stops (incremental batch);
     otherwise ``processing_time`` sets a micro-batch interval.
     ``state_partitions`` fixes the number of join-state partitions for a new

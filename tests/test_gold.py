@@ -65,3 +65,9 @@ def test_trends_status_and_math_error(spark):
         "status", "math_error"]
     c = [r for r in rows if r["amount"] == 30.3][0]
     assert c["math_error"] == (10.0 - 30.3) - 0.0
+
+
+def test_victim_profile_ordered(spark):
+    rows = victim_profile(_silver(spark), ordered=True).collect()
+    keys = [(r["type"], -1 if r["isFraud"] is None else r["isFraud"]) for r in rows]
+    assert keys == sorted(keys)

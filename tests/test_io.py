@@ -138,3 +138,13 @@ def test_rebalance_layout_writes_same_rows(spark, scratch):
     writers.write_batch(df, scratch + "/rg", partitions=5)
     a, b = file_src.read_table(spark, scratch + "/rb"), file_src.read_table(spark, scratch + "/rg")
     assert a.count() == 3000 and a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+def test_read_raw_csv_then_split(spark, scratch):
+    raw = mapping.raw_table(spark, SF001)
+    writers.write_any(raw, scratch + "/raw", "csv")
+    back = feed_src.read_raw(spark, scratch + "/raw")
+    assert dict(back.dtypes) == dict(raw.dtypes)
+    assert back.exceptAll(raw).count() == 0 and back.count() == raw.count()
+    report = split_job.run_split(spark, back, scratch + "/feeds", fmt="parquet")
+    assert all(r["ok"] for r in report.collect())

@@ -50,3 +50,21 @@ def test_incremental_runs_and_late_labels(spark, scratch):
     _land(spark, feeds, bronze, [1])
     run_silver_stream_once(spark, bronze, sink, ckpt, watermark="2 hours")
     assert rows() == n([1, 2, 3, 10, 11, 12])
+
+
+def test_no_watermark_joins_across_runs(spark, scratch):
+    tx, acct, fraud = mapping.feeds(spark, SF001)
+    bronze, sink, ckpt = scratch + "/bronze", scratch + "/sink", scratch + "/ckpt"
+    steps = [1, 2]
+    _land(spark, {"transactions": tx, "accounts": acct}, bronze, steps)
+    _land(spark, {"fraud": fraud.limit(0)}, bronze, steps)   # folder provisioned, empty
+    run_silver_stream_once(spark, bronze, sink, ckpt, state_partitions=4)
+    inv = file_src.file_inventory(spark, sink)
+    assert inv.filter(F.col("file_path").endswith(".parquet")).count() == 0
+    _land(spark, {"fraud": fraud}, bronze, steps)
+    stats = run_silver_stream_once(spark, bronze, sink, ckpt, state_partitions=4)
+    want = tx.filter(F.col("step").isin(steps)).count()
+    assert stats["input_rows"] == fraud.filter(F.col("step").isin(steps)).count()
+    got = file_src.read_table(spark, sink)
+    assert got.count() == want
+    assert got.filter(F.col("transaction_time").isNull()).count() == 0
