@@ -25,18 +25,19 @@ def to_files(root: str, fmt: str = "parquet") -> Publisher:
 
 def run_gold(spark: SparkSession, silver_path: str, publish: Publisher,
              silver_fmt: str = "parquet", tables: list[str] | None = None,
-             cache: bool = False) -> list[str]:
+             cache: bool = False, one_pass: bool = False) -> list[str]:
     """Compute and publish the gold tables; returns the names written.
 
     No cache by default: over parquet every table reads only its own columns.
-    ``cache=True`` keeps the silver scan in memory/disk across the four jobs.
+    ``cache=True`` keeps the silver scan in memory/disk across the four jobs;
+    ``one_pass=True`` computes the three aggregates from one scan.
     """
     silver = read_table(spark, silver_path, silver_fmt)
     if cache:
         silver = silver.persist()
     done = []
     try:
-        for name, df in gold_tables(silver).items():
+        for name, df in gold_tables(silver, one_pass).items():
             if tables is None or name in tables:
                 publish(df, name)
                 done.append(name)

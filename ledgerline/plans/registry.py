@@ -418,3 +418,24 @@ def q_silver_stream(spark, sf_dir):
                                   watermark="2 hours",
                                   state_partitions=spark.sparkContext.defaultParallelism)
     return _read_silver(spark, sink)
+
+
+# ------------------------------------------------- single-pass gold variant
+
+def _one_pass(spark, sf_dir, table):
+    return gold.gold_aggregates_one_pass(_silver(spark, sf_dir))[table]
+
+
+@register("hourly_fraud_metrics_one_pass", ORACLES["hourly_fraud_metrics"])
+def q_hourly_one_pass(spark, sf_dir):
+    return _one_pass(spark, sf_dir, "HOURLY_FRAUD_METRICS")
+
+
+@register("victim_profile_one_pass", ORACLES["victim_profile"])
+def q_victim_one_pass(spark, sf_dir):
+    return _one_pass(spark, sf_dir, "VICTIM_PROFILE")
+
+
+@register("system_audit_one_pass", ORACLES["system_audit"])
+def q_audit_one_pass(spark, sf_dir):
+    return _one_pass(spark, sf_dir, "SYSTEM_AUDIT")

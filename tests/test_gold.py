@@ -71,3 +71,15 @@ def test_victim_profile_ordered(spark):
     rows = victim_profile(_silver(spark), ordered=True).collect()
     keys = [(r["type"], -1 if r["isFraud"] is None else r["isFraud"]) for r in rows]
     assert keys == sorted(keys)
+
+
+def test_one_pass_equals_separate_tables(spark):
+    from ledgerline.operators.gold import gold_aggregates_one_pass
+    s = _silver(spark)
+    one = gold_aggregates_one_pass(s)
+    for name, sep in (("HOURLY_FRAUD_METRICS", hourly_fraud_metrics(s)),
+                      ("VICTIM_PROFILE", victim_profile(s)),
+                      ("SYSTEM_AUDIT", system_audit(s))):
+        got = one[name]
+        assert got.columns == sep.columns
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, sep.collect()), key=repr)
