@@ -16,22 +16,25 @@ from pyspark.sql import types as T
 from ledgerline.schemas import FEEDS, KEY, STEP
 
 
-def reconcile(raw: DataFrame, feeds: Mapping[str, DataFrame]) -> DataFrame:
+def reconcile(raw: DataFrame | int, feeds: Mapping[str, DataFrame]) -> DataFrame:
     """Rows in vs rows out per feed after a split.
 
     Returns ``feed, rows_in, rows_out, missing, batches, ok``. ``rows_out``
     counts rows that land in a batch (non-NULL ``step``), ``batches`` the
-    distinct steps. One job: a global count per input, joined to a one-row
-    input count (broadcast of exactly one row).
+    distinct steps. ``raw`` is the input table (counted in the same job,
+    joined as a broadcast of exactly one row) or its row count when the
+    caller already has it from an earlier pass.
     """
-    total = raw.agg(F.count(F.lit(1)).alias("rows_in"))
     outs = None
     for name, df in feeds.items():
         part = df.agg(F.lit(name).alias("feed"),
                       F.count(F.col(STEP)).alias("rows_out"),
                       F.countDistinct(F.col(STEP)).alias("batches"))
         outs = part if outs is None else outs.unionByName(part)
-    rep = outs.crossJoin(F.broadcast(total))
+    if isinstance(raw, DataFrame):
+        rep = outs.crossJoin(F.broadcast(raw.agg(F.count(F.lit(1)).alias("rows_in"))))
+    else:
+        rep = outs.withColumn("rows_in", F.lit(int(raw)).cast("bigint"))
     missing = F.col("rows_in") - F.col("rows_out")
     return rep.select("feed", "rows_in", "rows_out", missing.alias("missing"),
                       "batches", (missing == 0).alias("ok"))

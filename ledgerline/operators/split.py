@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators._joins import join_bounded
+from ledgerline.operators._joins import MAX_BROADCAST_ROWS, join_bounded
 from ledgerline.schemas import KEY, STEP
 
 ID_PREFIX = "TXN"  # fixed value: ids read TXN-{step}-{n}
@@ -21,6 +21,23 @@ def _default_partitions(df: DataFrame) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def batch_stats(raw: DataFrame) -> tuple[int, int]:
+    """``(rows, steps)`` of a table in one aggregate pass; a NULL step counts
+    as one more step. Two numbers reach the driver, no rows."""
+    null_step = F.coalesce(F.max(F.col(STEP).isNull().cast("int")), F.lit(0))
+    r = raw.agg(F.count(F.lit(1)).alias("rows"),
+                (F.count_distinct(STEP) + null_step).alias("steps")).first()
+    return int(r["rows"]), int(r["steps"])
+
+
+def ids_keep_step_layout(partitions: int, n_steps: int) -> bool:
+    """Whether :func:`with_transaction_id` returns rows still range-partitioned
+    and sorted by ``(step, ...)``: true when its run summary (at most
+    ``partitions + n_steps`` rows) is broadcast, so the big side is never
+    reshuffled."""
+    return partitions + n_steps <= MAX_BROADCAST_ROWS
+
+
 def with_transaction_id(raw: DataFrame, order_by: list[str] | None = None, *,
                         partitions: int | None = None, n_steps: int | None = None,
                         id_col: str = KEY) -> DataFrame:
@@ -42,7 +59,9 @@ def with_transaction_id(raw: DataFrame, order_by: list[str] | None = None, *,
        known to be small (``n_steps`` is counted if not given).
 
     The sort exchange is shared by both branches (exchange reuse), so the big
-    data is shuffled once.
+    data is shuffled once. With the broadcast, the result keeps the range
+    partitioning and order on ``(step, ...)`` (:func:`ids_keep_step_layout`),
+    so step-partitioned writes of it need no further shuffle.
     """
     keys = list(order_by) if order_by else [c for c in raw.columns if c != STEP]
     n_parts = partitions or _default_partitions(raw)
@@ -62,7 +81,7 @@ def with_transaction_id(raw: DataFrame, order_by: list[str] | None = None, *,
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
 
     if n_steps is None:
-        n_steps = raw.select(STEP).distinct().count()
+        n_steps = batch_stats(raw)[1]
     cond = (F.col("_pid") == F.col("_rpid")) & F.col(STEP).eqNullSafe(F.col("_rstep"))
     joined = join_bounded(ranked, runs, cond, "inner", n_parts + n_steps)
 

@@ -40,8 +40,10 @@ def build_session(master: str | None = None, app_name: str = "ledgerline",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) a private folder is
-    created and registered, so ``DataFrame.checkpoint()`` works too.
+    Only when nothing is configured and the master is local (tests) a
+    private folder is created and registered, so ``DataFrame.checkpoint()``
+    works too. On a cluster a machine-local folder would be lost with its
+    machine, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +51,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage "
+                "(HDFS, object store) that every executor and the driver can reach")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -106,11 +106,17 @@ def write_warehouse(df: DataFrame, table: str, options: Mapping[str, str],
 
 
 def write_feeds(feeds: Mapping[str, DataFrame], root: str, fmt: str = "csv",
-                partitions: int | None = None) -> None:
-    """Each feed to ``<root>/<feed>/step=<n>/`` (replaces what is there)."""
+                partitions: int | None = None, cluster: bool = True) -> None:
+    """Each feed to ``<root>/<feed>/step=<n>/`` (replaces what is there).
+
+    ``cluster=False`` writes the feeds in their current layout, for inputs
+    that are already range-partitioned and sorted by ``step`` (as the output
+    of :func:`ledgerline.operators.split.with_transaction_id` is): no shuffle
+    per feed, and still about one file per step and task.
+    """
     for name, df in feeds.items():
         write_batch(df, f"{root.rstrip('/')}/{name}", mode="replace", fmt=fmt,
-                    partitions=partitions)
+                    partitions=partitions, cluster=cluster)
 
 
 class IncompleteBatchError(RuntimeError):

@@ -66,6 +66,18 @@ def test_split_silver_gold_end_to_end(spark, scratch):
     assert len(audit) == 5
 
 
+def test_split_writes_about_one_file_per_step_and_task(spark, scratch):
+    import glob
+    raw = mapping.raw_table(spark, SF001)
+    steps = raw.select("step").distinct().count()
+    report = split_job.run_split(spark, raw, scratch + "/feeds", fmt="parquet", partitions=4)
+    assert all(r["ok"] and r["rows_in"] == raw.count() for r in report.collect())
+    for feed in ("transactions", "accounts", "fraud"):
+        local = scratch.removeprefix("file:")
+        files = glob.glob(f"{local}/feeds/{feed}/step=*/*.parquet")
+        assert steps <= len(files) <= steps + 4
+
+
 def test_land_batch_refuses_incomplete_steps(spark, scratch):
     tx, acct, fraud = mapping.feeds(spark, SF001, faulty=True)
     feeds = dict(zip(FEEDS, (tx, acct, fraud)))

@@ -3,7 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.split import split_feeds, step_counts, with_transaction_id
+from ledgerline.operators.split import (
+    batch_stats, ids_keep_step_layout, split_feeds, step_counts, with_transaction_id)
 from ledgerline.schemas import RAW_SCHEMA
 
 
@@ -68,3 +69,27 @@ def test_step_counts_keeps_null_steps(spark):
     raw = _raw(spark, [_row(1, 1.0), _row(1, 2.0), _row(None, 3.0)])
     got = {r["step"]: r["rows"] for r in step_counts(raw).collect()}
     assert got == {1: 2, None: 1}
+
+
+def test_batch_stats_counts_null_step_once(spark):
+    raw = _raw(spark, [_row(1, 1.0), _row(1, 2.0), _row(3, 1.0), _row(None, 3.0),
+                       _row(None, 4.0)])
+    assert batch_stats(raw) == (5, 3)
+    assert batch_stats(raw.filter("step = 99")) == (0, 0)
+
+
+def test_ids_leave_rows_range_clustered_by_step(spark):
+    # what the split job relies on to write the feeds without reshuffling:
+    # every partition holds one contiguous run of steps, sorted
+    rows = [_row(7, float(i), f"C{i % 13}") for i in range(2000)]
+    rows += [_row(s, float(s), f"C{s}") for s in range(1, 60) for _ in range(5)]
+    raw = _raw(spark, rows).repartition(9)
+    assert ids_keep_step_layout(6, 60)
+    got = with_transaction_id(raw, partitions=6, n_steps=60)
+    per_part = got.rdd.mapPartitions(lambda it: [[r["step"] for r in it]]).collect()
+    assert sum(map(len, per_part)) == len(rows)
+    runs = [(p[0], p[-1]) for p in per_part if p]
+    assert all(p == sorted(p) for p in per_part)
+    assert all(a[1] <= b[0] for a, b in zip(runs, runs[1:]))
+    # the hot step is cut over several partitions, so each holds a share
+    assert sum(1 for p in per_part if 7 in p) > 1
