@@ -3,8 +3,8 @@
 CSV output: input columns + ``processed_timestamp, processing_job, row_id``
 + one ``<c>_upper`` per string input column. JSON output: input columns +
 ``processed_timestamp, processing_job, record_count``. Each is a single
-projection; the total count for JSON is a one-row aggregate broadcast back,
-not a driver round trip.
+projection; the total count for JSON is counted first and added as a
+literal (one number crosses to the driver, no rows).
 """
 
 from __future__ import annotations
@@ -54,10 +54,13 @@ def profile_csv_frame(df: DataFrame, processed_at=None, job: str = PROCESSING_JO
 
 
 def with_record_count(df: DataFrame, col: str = "record_count") -> DataFrame:
-    """Append the total row count as a constant column (one extra job stage,
-    a broadcast of exactly one row)."""
-    total = df.agg(F.count(F.lit(1)).alias(col))
-    return df.crossJoin(F.broadcast(total))
+    """Append the total row count as a constant ``bigint`` column.
+
+    The count runs first as its own job (partial counts per task, one number
+    to the driver); the result is a plain projection with a literal, so no
+    join and no second input of the plan.
+    """
+    return df.withColumn(col, F.lit(df.count()).cast("bigint"))
 
 
 def profile_json_frame(df: DataFrame, processed_at=None, job: str = PROCESSING_JOB

@@ -21,20 +21,18 @@ def reconcile(raw: DataFrame | int, feeds: Mapping[str, DataFrame]) -> DataFrame
 
     Returns ``feed, rows_in, rows_out, missing, batches, ok``. ``rows_out``
     counts rows that land in a batch (non-NULL ``step``), ``batches`` the
-    distinct steps. ``raw`` is the input table (counted in the same job,
-    joined as a broadcast of exactly one row) or its row count when the
-    caller already has it from an earlier pass.
+    distinct steps (both per feed, in one job over the union of the feeds).
+    ``raw`` is the input table, counted first (one number to the driver), or
+    its row count when the caller already has it from an earlier pass.
     """
+    rows_in = int(raw) if not isinstance(raw, DataFrame) else raw.count()
     outs = None
     for name, df in feeds.items():
         part = df.agg(F.lit(name).alias("feed"),
                       F.count(F.col(STEP)).alias("rows_out"),
                       F.countDistinct(F.col(STEP)).alias("batches"))
         outs = part if outs is None else outs.unionByName(part)
-    if isinstance(raw, DataFrame):
-        rep = outs.crossJoin(F.broadcast(raw.agg(F.count(F.lit(1)).alias("rows_in"))))
-    else:
-        rep = outs.withColumn("rows_in", F.lit(int(raw)).cast("bigint"))
+    rep = outs.withColumn("rows_in", F.lit(rows_in).cast("bigint"))
     missing = F.col("rows_in") - F.col("rows_out")
     return rep.select("feed", "rows_in", "rows_out", missing.alias("missing"),
                       "batches", (missing == 0).alias("ok"))
