@@ -242,7 +242,7 @@ def q_retention_expired(spark, sf_dir):
 
 def _bronze(spark, sf_dir, fmt="csv") -> str:
     root = scratch_path(spark, "bronze")
-    writers.write_feeds(dict(zip(FEEDS, mapping.feeds(spark, sf_dir))), root, fmt)
+    split_job.write_split_feeds(spark, mapping.raw_with_ids(spark, sf_dir), root, fmt)
     return root
 
 

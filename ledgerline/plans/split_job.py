@@ -5,11 +5,11 @@
 Passes over ``raw``: one aggregate (row count and number of steps, which
 bounds the id summary and is the ``rows_in`` of the reconciliation), the
 range partitioner's sample, and the range shuffle that numbers the rows.
-The numbered table is checkpointed to the shared checkpoint folder once, so
-the three writes neither repeat the sort nor go back to the raw input when
-an executor is lost. Because the numbering leaves rows range-partitioned and
-sorted by step, the checkpoint keeps that layout and the feed writes run
-without any shuffle.
+The numbered table is written once as a staging parquet table below the
+shared checkpoint folder, so the three writes neither repeat the sort nor go
+back to the raw input when an executor is lost. Because the numbering leaves
+rows range-partitioned and sorted by step, the staging files keep that
+layout and the feed writes run without any shuffle.
 """
 
 from __future__ import annotations
@@ -19,26 +19,48 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.operators.quality import reconcile
 from ledgerline.operators.split import (
     batch_stats, ids_keep_step_layout, split_feeds, with_transaction_id)
-from ledgerline.schemas import FEEDS
-from ledgerline.session import checkpoint_root
-from ledgerline.sinks.writers import write_feeds
+from ledgerline.schemas import FEEDS, KEY, STEP
+from ledgerline.session import scratch_path
+from ledgerline.sinks.writers import clustered, write_feeds
 from ledgerline.sources.feeds import read_feeds
 
 
+def write_split_feeds(spark: SparkSession, ided: DataFrame, out_root: str,
+                      fmt: str = "csv", partitions: int | None = None,
+                      step_clustered: bool = False) -> str:
+    """Write the three feeds of a wide table that already has ids.
+
+    The table is laid out once (range partitions on ``(step, id)``, skipped
+    when ``step_clustered`` says it already is) and written as a staging
+    parquet table below the shared checkpoint folder. That cuts the lineage
+    (a lost executor does not send the writes back to the raw input), and
+    each feed write reads only its own columns of the staging copy, with no
+    shuffle: its files hold contiguous, sorted step ranges, so each step
+    still lands in about one file per feed. Three separately clustered
+    writes would compute, sample and shuffle the input three times.
+    Returns the staging path.
+    """
+    if not step_clustered:
+        ided = clustered(ided, [STEP], [KEY], partitions)
+    stage = scratch_path(spark, "split-stage")
+    ided.write.mode("overwrite").parquet(stage)
+    wide = spark.read.parquet(stage)
+    write_feeds(dict(zip(FEEDS, split_feeds(wide))), out_root, fmt, partitions,
+                cluster=False)
+    return stage
+
+
 def run_split(spark: SparkSession, raw: DataFrame, out_root: str, fmt: str = "csv",
               partitions: int | None = None, has_ids: bool = False) -> DataFrame:
     """Write the feeds of ``raw`` below ``out_root``; return the reconciliation
     report (rows in vs rows written, per feed)."""
-    checkpoint_root(spark)
     rows_in, n_steps = batch_stats(raw)
     if has_ids:
-        ided, clustered = raw, False
+        ided, step_clustered = raw, False
     else:
         n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         ided = with_transaction_id(raw, partitions=n_parts, n_steps=n_steps)
-        clustered = ids_keep_step_layout(n_parts, n_steps)
-    ided = ided.checkpoint(eager=True)
-    write_feeds(dict(zip(FEEDS, split_feeds(ided))), out_root, fmt, partitions,
-                cluster=not clustered)
+        step_clustered = ids_keep_step_layout(n_parts, n_steps)
+    write_split_feeds(spark, ided, out_root, fmt, partitions, step_clustered)
     written = read_feeds(spark, out_root, fmt=fmt)
     return reconcile(rows_in, dict(zip(FEEDS, written)))

@@ -25,7 +25,7 @@ WRITE_MODES = ("replace", "append")
 LAYOUTS = ("range", "rebalance")
 
 
-def _clustered(df: DataFrame, by: list[str], secondary: list[str],
+def clustered(df: DataFrame, by: list[str], secondary: list[str],
                partitions: int | None, layout: str = "range") -> DataFrame:
     """Lay rows out so each write task covers few partition directories.
 
@@ -63,7 +63,7 @@ def write_batch(df: DataFrame, path: str, mode: str = "replace", fmt: str = "par
         raise ValueError(f"mode must be one of {WRITE_MODES}")
     parts = list(partition_by)
     if cluster and parts:
-        df = _clustered(df, parts, [c for c in cluster_by if c in df.columns], partitions,
+        df = clustered(df, parts, [c for c in cluster_by if c in df.columns], partitions,
                         layout)
     if observe:
         df = df.observe(*observe)
