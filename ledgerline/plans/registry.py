@@ -333,6 +333,35 @@ def q_silver_schema(spark, sf_dir):
     return quality.describe_schema(_read_silver(spark, _silver_table(spark, sf_dir)))
 
 
+# ------------------------------------------------------------- gold refresh
+
+# per published table: a whole-number measure that adds up over its rows
+_GOLD_MEASURES = {
+    "HOURLY_FRAUD_METRICS": ("total_transactions", "hourly_fraud_metrics"),
+    "VICTIM_PROFILE": ("total_count", "victim_profile"),
+    "SYSTEM_AUDIT": ("missed_fraud + caught_fraud + false_alarms", "system_audit"),
+    "TRANSACTION_TRENDS_DETAILED": ("1", "trends_detailed"),
+}
+
+
+@register("gold_refresh", "\nUNION ALL\n".join(
+    f"SELECT '{table}' AS table_name, count(*) AS rows, "
+    f"cast(sum({measure}) AS BIGINT) AS covered FROM ({ORACLES[query]}) q"
+    for table, (measure, query) in _GOLD_MEASURES.items()))
+def q_gold_refresh(spark, sf_dir):
+    """The gold job end to end: stored silver -> four tables published as
+    files -> read back; one row per table with its size and covered rows."""
+    root = scratch_path(spark, "gold")
+    gold_job.run_gold(spark, _silver_table(spark, sf_dir), gold_job.to_files(root))
+    out = None
+    for table, (measure, _) in _GOLD_MEASURES.items():
+        part = file_src.read_table(spark, f"{root}/{table}").agg(
+            F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+            F.sum(F.expr(measure)).cast("bigint").alias("covered"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ------------------------------------------------------- generic profile job
 
 _SAMPLE_SQL = """
