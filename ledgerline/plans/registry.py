@@ -10,8 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from ledgerline.operators import gold, silver, split
+from pyspark.sql import functions as F
+
+from ledgerline.operators import gold, quality, silver, split
+from ledgerline.plans import gold_job, profile_job, silver_job, split_job
+from ledgerline.schemas import FEEDS, SILVER_COLUMNS, STEP
+from ledgerline.session import scratch_path
+from ledgerline.sinks import writers
+from ledgerline.sources import feeds as feed_src
+from ledgerline.sources import files as file_src
+from ledgerline.sources.sample import sample_customers
+from ledgerline.streaming import silver_stream as stream
 from ledgerline.testdata import mapping
 from ledgerline.testdata import oracle as O
 
@@ -47,6 +56,16 @@ def q_transaction_ids(spark, sf_dir):
     return split.with_transaction_id(mapping.raw_table(spark, sf_dir))
 
 
+@register("raw_scan", O.with_ctes(O.RAW_CTE) + """
+SELECT step, type, amount, "nameOrig", "oldbalanceOrg", "newbalanceOrig", "nameDest",
+       "oldbalanceDest", "newbalanceDest", "isFraud", "isFlaggedFraud" FROM raw""")
+def q_raw_scan(spark, sf_dir):
+    """The wide raw table as a headed CSV, read back with the explicit schema."""
+    path = scratch_path(spark, "raw_csv")
+    writers.write_any(mapping.raw_table(spark, sf_dir), path, "csv")
+    return feed_src.read_raw(spark, path)
+
+
 @register("split_transactions", O.BASE + """
 SELECT transaction_id, step, type, amount, origin_account_id, dest_account_id FROM tx""")
 def q_split_transactions(spark, sf_dir):
@@ -113,6 +132,12 @@ def q_hourly_fraud_metrics_exact(spark, sf_dir):
     return gold.hourly_fraud_metrics(_silver(spark, sf_dir), "exact")
 
 
+@register("hourly_fraud_metrics_ordered", ORACLES["hourly_fraud_metrics"]
+          + " ORDER BY transaction_time")
+def q_hourly_fraud_metrics_ordered(spark, sf_dir):
+    return gold.hourly_fraud_metrics(_silver(spark, sf_dir), "hour", ordered=True)
+
+
 @register("victim_profile", O.SILVER + f"""
 SELECT type, "isFraud", count(transaction_id) AS total_count,
        {O.money_avg('"oldbalanceOrg"')} AS avg_victim_balance,
@@ -122,6 +147,11 @@ def q_victim_profile(spark, sf_dir):
     return gold.victim_profile(_silver(spark, sf_dir))
 
 
+@register("victim_profile_ordered", ORACLES["victim_profile"] + " ORDER BY 1, 2")
+def q_victim_profile_ordered(spark, sf_dir):
+    return gold.victim_profile(_silver(spark, sf_dir), ordered=True)
+
+
 @register("system_audit", O.SILVER + """
 SELECT type,
        cast(sum("isFraud" * (1 - "isFlaggedFraud")) AS BIGINT) AS missed_fraud,
@@ -143,18 +173,6 @@ def q_trends_detailed(spark, sf_dir):
 
 # ------------------------------------------------------------ quality checks
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from ledgerline.operators import quality  # noqa: E402
-from ledgerline.schemas import FEEDS, SILVER_COLUMNS, STEP  # noqa: E402
-from ledgerline.session import scratch_path  # noqa: E402
-from ledgerline.sinks import writers  # noqa: E402
-from ledgerline.sources import feeds as feed_src  # noqa: E402
-from ledgerline.sources import files as file_src  # noqa: E402
-from ledgerline.sources.sample import sample_customers  # noqa: E402
-from ledgerline.operators import profile  # noqa: E402
-from ledgerline.plans import gold_job, profile_job, silver_job, split_job  # noqa: E402
-from ledgerline.streaming import silver_stream as stream  # noqa: E402
 
 FIXED_PROCESSED_AT = "2025-01-01 00:00:00"   # fixed job time for repeatable output
 RETENTION_AS_OF = "2025-01-20 00:00:00"
