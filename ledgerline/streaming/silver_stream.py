@@ -14,6 +14,9 @@ the batch report of :func:`ledgerline.operators.quality.unmatched_keys`.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +27,32 @@ from ledgerline.schemas import FEED_SCHEMAS, KEY, SILVER_COLUMNS, STEP, with_ste
 
 _ET = "_event_hour"
 
+# Join state per key lives in a state store. The default store keeps all of it
+# in executor memory; RocksDB keeps it on local disk with bounded memory (and
+# checkpoints it to the checkpoint location), so a key whose copies are a large
+# share of all rows does not exhaust an executor.
+STATE_STORES = {
+    "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "memory": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+}
+_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def _session_conf(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Set SQL confs for the duration of a query start, then restore them."""
+    previous = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
 
 def feed_stream(spark: SparkSession, root: str, feed: str, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None) -> DataFrame:
@@ -61,7 +90,8 @@ def start_silver_stream(spark: SparkSession, bronze_root: str, sink_path: str,
                         max_files_per_trigger: int | None = None,
                         available_now: bool = True,
                         processing_time: str | None = None,
-                        state_partitions: int | None = None) -> StreamingQuery:
+                        state_partitions: int | None = None,
+                        state_store: str | None = "rocksdb") -> StreamingQuery:
     """Start the stream into a parquet table at ``sink_path``.
 
     The three feed folders must exist (they may be empty).
@@ -70,7 +100,10 @@ def start_silver_stream(spark: SparkSession, bronze_root: str, sink_path: str,
     otherwise ``processing_time`` sets a micro-batch interval.
     ``state_partitions`` fixes the number of join-state partitions for a new
     checkpoint (default: the session's ``spark.sql.shuffle.partitions``);
-    Spark keeps the number stored in an existing checkpoint.
+    ``state_store`` (``"rocksdb"``, ``"memory"`` or ``None`` for the session's
+    setting) picks the state store of a new checkpoint. Spark keeps both as
+    stored in an existing checkpoint. A backfill of many steps in one run
+    should bound its micro-batches with ``max_files_per_trigger``.
     """
     feeds = [feed_stream(spark, bronze_root, f, fmt, max_files_per_trigger)
              for f in FEED_SCHEMAS]
@@ -82,32 +115,40 @@ def start_silver_stream(spark: SparkSession, bronze_root: str, sink_path: str,
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    if state_partitions is None:
+    conf = {}
+    if state_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_store is not None:
+        if state_store not in STATE_STORES:
+            raise ValueError(f"state_store must be one of {sorted(STATE_STORES)}")
+        conf[_STORE_KEY] = STATE_STORES[state_store]
+    with _session_conf(spark, conf):
         return w.start()
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return w.start()
-    finally:
-        spark.conf.set(key, previous)
 
 
 def run_silver_stream_once(spark: SparkSession, bronze_root: str, sink_path: str,
                            checkpoint: str, fmt: str = "parquet",
                            watermark: str | None = None,
                            timeout_s: float | None = 600,
-                           state_partitions: int | None = None) -> dict:
-    """One incremental run; returns the number of micro-batches and input rows."""
+                           state_partitions: int | None = None,
+                           state_store: str | None = "rocksdb",
+                           max_files_per_trigger: int | None = None) -> dict:
+    """One incremental run; returns the number of micro-batches, input rows,
+    the rows held in join state after the last batch and the state store."""
     q = start_silver_stream(spark, bronze_root, sink_path, checkpoint, fmt, watermark,
-                            state_partitions=state_partitions)
+                            max_files_per_trigger=max_files_per_trigger,
+                            state_partitions=state_partitions, state_store=state_store)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError("silver stream did not finish in time")
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    progress = q.recentProgress
-    rows = sum((p["numInputRows"] if isinstance(p, dict) else p.numInputRows)
-               for p in progress)
-    return {"batches": len(progress), "input_rows": rows}
+    progress = [p if isinstance(p, dict) else p.jsonValue() for p in q.recentProgress]
+    rows = sum(p["numInputRows"] for p in progress)
+    ops = progress[-1].get("stateOperators", []) if progress else []
+    metrics = set().union(*[op.get("customMetrics", {}) for op in ops]) if ops else set()
+    return {"batches": len(progress), "input_rows": rows,
+            "state_rows": sum(op.get("numRowsTotal", 0) for op in ops),
+            "state_store": "rocksdb" if any(m.startswith("rocksdb") for m in metrics)
+            else ("memory" if ops else None)}

@@ -37,8 +37,13 @@ def test_incremental_runs_and_late_labels(spark, scratch):
     assert rows() == n([1, 2, 3])
     # run 2: steps 10-11; the watermark moves past step 3
     _land(spark, feeds, bronze, [10, 11])
-    run_silver_stream_once(spark, bronze, sink, ckpt, watermark="2 hours")
+    st = run_silver_stream_once(spark, bronze, sink, ckpt, watermark="2 hours")
     assert rows() == n([1, 2, 3, 10, 11])
+    # join state is disk-backed and holds only steps within the watermark:
+    # two joins x two sides x the rows of steps 10-11, nothing of steps 1-3
+    assert st["state_store"] == "rocksdb"
+    assert n([1, 2, 3]) > 0 and 0 < st["state_rows"] <= 4 * n([10, 11])
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) is None
     # run 3: transactions+accounts of step 12 now, its labels in run 4
     _land(spark, {"transactions": tx, "accounts": acct}, bronze, [12])
     run_silver_stream_once(spark, bronze, sink, ckpt, watermark="2 hours")
