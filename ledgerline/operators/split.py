@@ -14,6 +14,7 @@ from ledgerline.operators._joins import MAX_BROADCAST_ROWS, join_bounded
 from ledgerline.schemas import KEY, STEP
 
 ID_PREFIX = "TXN"  # fixed value: ids read TXN-{step}-{n}
+TIEBREAK = "_tiebreak"
 
 
 def _default_partitions(df: DataFrame) -> int:
@@ -49,8 +50,9 @@ def with_transaction_id(raw: DataFrame, order_by: list[str] | None = None, *,
     but it does not run as such a window: one hot step would then be one task.
     Instead:
 
-    1. a global range sort on ``(step, order_by)`` splits even a single huge
-       step over many partitions;
+    1. a global range sort on ``(step, order_by, input position)`` splits even
+       a single huge step, or a huge group of identical rows, over many
+       partitions;
     2. ``monotonically_increasing_id`` gives each row its position inside its
        partition;
     3. a per ``(partition, step)`` summary (at most ``partitions + n_steps``
@@ -65,9 +67,14 @@ def with_transaction_id(raw: DataFrame, order_by: list[str] | None = None, *,
     """
     keys = list(order_by) if order_by else [c for c in raw.columns if c != STEP]
     n_parts = partitions or _default_partitions(raw)
-    sort_cols = [F.col(STEP).asc_nulls_first()] + [F.col(k).asc_nulls_first() for k in keys]
-
-    ranked = (raw.repartitionByRange(n_parts, *sort_cols)
+    # the input position breaks ties last: rows equal on every key are
+    # interchangeable, so which copy gets which number does not change the
+    # result, but range bounds can then cut a large group of copies
+    sort_cols = ([F.col(STEP).asc_nulls_first()] + [F.col(k).asc_nulls_first() for k in keys]
+                 + [F.col(TIEBREAK)])
+
+    ranked = (raw.withColumn(TIEBREAK, F.monotonically_increasing_id())
+              .repartitionByRange(n_parts, *sort_cols)
               .sortWithinPartitions(*sort_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))

@@ -23,6 +23,7 @@ WRITE_MODES = ("replace", "append")
 
 
 LAYOUTS = ("range", "rebalance")
+_TIEBREAK = "_tiebreak"
 
 
 def clustered(df: DataFrame, by: list[str], secondary: list[str],
@@ -31,8 +32,8 @@ def clustered(df: DataFrame, by: list[str], secondary: list[str],
 
     ``range`` (default): range-partition on ``by + secondary`` into
     ``partitions`` tasks (default ``spark.sql.shuffle.partitions``); the
-    secondary key lets the range bounds cut through a hot step, so one step
-    never has to fit one task. ``rebalance``: the ``REBALANCE`` hint; AQE
+    secondary key (and the input position after it) lets the range bounds cut
+    through a hot step or a hot key, so neither has to fit one task. ``rebalance``: the ``REBALANCE`` hint; AQE
     sizes the tasks by bytes and splits skewed steps itself (fewer files, but
     fewer tasks for small data). A plain ``repartition(step)`` would put a
     hot step into a single task.
@@ -43,7 +44,10 @@ def clustered(df: DataFrame, by: list[str], secondary: list[str],
         return df.hint("rebalance", *by) if partitions is None else \
             df.hint("rebalance", partitions, *by)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *(by + secondary))
+    # input position as the last key: a key with very many copies can still be
+    # cut by the range bounds (it only decides which file a copy lands in)
+    return (df.withColumn(_TIEBREAK, F.monotonically_increasing_id())
+            .repartitionByRange(n, *(by + secondary), _TIEBREAK).drop(_TIEBREAK))
 
 
 def write_batch(df: DataFrame, path: str, mode: str = "replace", fmt: str = "parquet",

@@ -78,6 +78,20 @@ def test_split_writes_about_one_file_per_step_and_task(spark, scratch):
         assert steps <= len(files) <= steps + 4
 
 
+def test_clustered_write_splits_a_group_of_copies(spark, scratch):
+    hot = [("TXN-1-0", 1, "T", 5.0, "C", "M")] * 3000
+    rest = [(f"TXN-{i % 20 + 1}-{i + 1}", i % 20 + 1, "T", 1.0, "C", "M") for i in range(3000)]
+    tx = spark.createDataFrame(hot + rest, "transaction_id string, step int, type string, "
+                               "amount double, origin_account_id string, dest_account_id string")
+    writers.write_batch(tx.repartition(5), scratch + "/t", fmt="parquet", partitions=6)
+    back = file_src.read_table(spark, scratch + "/t")
+    assert back.count() == 6000
+    per_file = (back.filter(F.col("transaction_id") == "TXN-1-0")
+                .groupBy(F.col("_metadata.file_path")).count().collect())
+    assert sum(r["count"] for r in per_file) == 3000
+    assert max(r["count"] for r in per_file) < 3000
+
+
 def test_land_batch_refuses_incomplete_steps(spark, scratch):
     tx, acct, fraud = mapping.feeds(spark, SF001, faulty=True)
     feeds = dict(zip(FEEDS, (tx, acct, fraud)))

@@ -93,3 +93,21 @@ def test_ids_leave_rows_range_clustered_by_step(spark):
     assert all(a[1] <= b[0] for a, b in zip(runs, runs[1:]))
     # the hot step is cut over several partitions, so each holds a share
     assert sum(1 for p in per_part if 7 in p) > 1
+
+
+def test_group_of_identical_copies_is_split_over_tasks(spark):
+    # a third of all rows are copies of one row: equal sort keys, yet the
+    # range partitioning must still cut the group, and ids stay exact
+    rows = [_row(4, 9.0, "C9")] * 1500
+    rows += [_row(s, float(i), f"C{i}") for i in range(3000) for s in (i % 50 + 1,)]
+    raw = _raw(spark, rows).repartition(7)
+    got = with_transaction_id(raw, partitions=6, n_steps=50)
+    per_part = got.rdd.mapPartitions(
+        lambda it: [sum(1 for r in it if r["nameOrig"] == "C9" and r["step"] == 4)]).collect()
+    assert sum(per_part) == 1500 and max(per_part) < 1500
+    keys = [c for c in raw.columns if c != "step"]
+    w = Window.partitionBy("step").orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    want = raw.withColumn("transaction_id", F.concat_ws(
+        "-", F.lit("TXN"), F.col("step").cast("string"),
+        (F.row_number().over(w) - 1).cast("string")))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
