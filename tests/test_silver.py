@@ -68,3 +68,41 @@ def test_build_silver_schema(spark):
     got = build_silver(*_feeds(spark))
     assert got.columns == SILVER_COLUMNS
     assert dict(got.dtypes)["transaction_time"] == "timestamp_ntz"
+
+
+def test_hot_key_in_the_three_way_join_is_split(spark):
+    # a third of the transactions share one key; AQE must split that key in
+    # both chained joins (the second only with forceOptimizeSkewedJoin)
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 150_000
+        key = F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(
+            F.concat(F.lit("K"), F.col("id").cast("string")))
+        tx = spark.range(n).select(
+            key.alias("transaction_id"), F.lit(1).alias("step"), F.lit("T").alias("type"),
+            F.rand(1).alias("amount"), F.md5(F.rand(2).cast("string")).alias("origin_account_id"),
+            F.md5(F.rand(3).cast("string")).alias("dest_account_id"))
+        ids = spark.range(n).select(F.concat(F.lit("K"), F.col("id").cast("string"))
+                                    .alias("transaction_id")).union(
+            spark.range(1).select(F.lit("HOT").alias("transaction_id")))
+        acct = ids.select("transaction_id", *[F.lit(0.0).alias(c) for c in (
+            "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest")],
+            F.lit(1).alias("step"))
+        fraud = ids.select("transaction_id", F.lit(0).alias("isFraud"),
+                           F.lit(0).alias("isFlaggedFraud"), F.lit(1).alias("step"))
+        df = join_feeds(tx, acct, fraud)
+        assert len(df.collect()) == n
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin(skew=true)") == 2
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
