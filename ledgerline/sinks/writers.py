@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators.quality import feed_completeness
 from ledgerline.schemas import FEEDS, KEY, STEP
 
-WRITE_MODES = ("replace", "append")
+WRITE_MODES = ("replace", "append", "overwrite")
 
 
 LAYOUTS = ("range", "rebalance")
@@ -59,7 +59,9 @@ def write_batch(df: DataFrame, path: str, mode: str = "replace", fmt: str = "par
 
     ``replace``: overwrite only the partitions present in ``df`` (a step that
     became empty is not cleared). ``append``: add rows; running the same
-    step twice then duplicates it. ``observe=(Observation, *metrics)`` is
+    step twice then duplicates it. ``overwrite``: replace the whole table
+    (every step not in ``df`` disappears), written in place without the
+    per-partition staging and renames of ``replace``. ``observe=(Observation, *metrics)`` is
     attached right before the write, above the clustering shuffle, so the
     range partitioner's sampling pass does not count rows a second time.
     """
@@ -80,6 +82,8 @@ def write_batch(df: DataFrame, path: str, mode: str = "replace", fmt: str = "par
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if mode == "replace":
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    elif mode == "overwrite":
+        w = w.mode("overwrite").option("partitionOverwriteMode", "static")
     else:
         w = w.mode("append")
     w.save(path)
@@ -111,7 +115,8 @@ def write_warehouse(df: DataFrame, table: str, options: Mapping[str, str],
 
 def write_feeds(feeds: Mapping[str, DataFrame], root: str, fmt: str = "csv",
                 partitions: int | None = None, cluster: bool = True) -> None:
-    """Each feed to ``<root>/<feed>/step=<n>/`` (replaces what is there).
+    """Each feed to ``<root>/<feed>/step=<n>/``; each feed folder is reset
+    first, like the source split does (whole-table overwrite).
 
     ``cluster=False`` writes the feeds in their current layout, for inputs
     that are already range-partitioned and sorted by ``step`` (as the output
@@ -119,7 +124,7 @@ def write_feeds(feeds: Mapping[str, DataFrame], root: str, fmt: str = "csv",
     per feed, and still about one file per step and task.
     """
     for name, df in feeds.items():
-        write_batch(df, f"{root.rstrip('/')}/{name}", mode="replace", fmt=fmt,
+        write_batch(df, f"{root.rstrip('/')}/{name}", mode="overwrite", fmt=fmt,
                     partitions=partitions, cluster=cluster)
 
 
