@@ -28,6 +28,10 @@ def test_write_batch_replace_is_idempotent_and_append_doubles(spark, scratch):
     # replace touches only the steps present in the new batch
     writers.write_batch(df.filter("step = 1"), scratch + "/r")
     assert file_src.read_table(spark, scratch + "/r").count() == 2
+    # overwrite replaces the whole table: steps missing from the batch vanish
+    writers.write_batch(df, scratch + "/o", mode="overwrite")
+    writers.write_batch(df.filter("step = 1"), scratch + "/o", mode="overwrite")
+    assert [r["step"] for r in file_src.read_table(spark, scratch + "/o").collect()] == [1]
     with pytest.raises(ValueError):
         writers.write_batch(df, scratch + "/x", mode="merge")
 
