@@ -82,6 +82,18 @@ def test_split_writes_about_one_file_per_step_and_task(spark, scratch):
         assert steps <= len(files) <= steps + 4
 
 
+def test_rerun_of_split_converges(spark, scratch):
+    # a job retried after a failure writes the same feeds again, not twice
+    raw = mapping.raw_table(spark, SF001)
+    split_job.run_split(spark, raw, scratch + "/f", fmt="parquet")
+    first = feed_src.read_feed(spark, scratch + "/f", "transactions", fmt="parquet")
+    first = first.collect()
+    report = split_job.run_split(spark, raw, scratch + "/f", fmt="parquet")
+    assert all(r["ok"] for r in report.collect())
+    again = feed_src.read_feed(spark, scratch + "/f", "transactions", fmt="parquet").collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, first))
+
+
 def test_clustered_write_splits_a_group_of_copies(spark, scratch):
     hot = [("TXN-1-0", 1, "T", 5.0, "C", "M")] * 3000
     rest = [(f"TXN-{i % 20 + 1}-{i + 1}", i % 20 + 1, "T", 1.0, "C", "M") for i in range(3000)]
