@@ -14,7 +14,7 @@ from ledgerline.sources import files as file_src
 from ledgerline.sources.sample import sample_customer_range
 from ledgerline.testdata import mapping
 
-from conftest import SF001
+from conftest import SF001, SF01
 
 
 def test_write_batch_replace_is_idempotent_and_append_doubles(spark, scratch):
@@ -82,6 +82,21 @@ def test_split_writes_about_one_file_per_step_and_task(spark, scratch):
         assert steps <= len(files) <= steps + 4
 
 
+def test_single_step_silver_run_writes_one_file_per_task(spark, scratch):
+    import glob
+    raw = mapping.raw_table(spark, SF01)
+    split_job.run_split(spark, raw, scratch + "/bronze")
+    step = raw.groupBy("step").count().orderBy(F.desc("count"), "step").first()["step"]
+    stats = silver_job.run_silver(spark, scratch + "/bronze", scratch + "/silver", steps=step)
+    want = raw.filter(F.col("step") == step).count()
+    assert stats["rows"] == want
+    back = file_src.read_table(spark, scratch + "/silver")
+    assert back.count() == want and back.filter(F.col("step") != step).count() == 0
+    files = glob.glob(scratch.removeprefix("file:") + f"/silver/step={step}/*.parquet")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 1 <= len(files) <= parts
+
+
 def test_rerun_of_split_converges(spark, scratch):
     # a job retried after a failure writes the same feeds again, not twice
     raw = mapping.raw_table(spark, SF001)
