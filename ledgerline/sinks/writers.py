@@ -154,8 +154,10 @@ def land_batch(spark: SparkSession, feeds: Mapping[str, DataFrame], dst_root: st
            .orderBy(STEP).limit(20).collect()]
     if bad:
         raise IncompleteBatchError(f"steps missing a feed: {bad}")
+    # one step needs no clustering: each input split writes one file of it
+    cluster = steps is None or len(wanted) > 1
     for name in FEEDS:
         if name in feeds:
             write_batch(feeds[name], f"{dst_root.rstrip('/')}/{name}", mode="replace",
-                        fmt=fmt, partitions=partitions)
+                        fmt=fmt, partitions=partitions, cluster=cluster)
     return report

@@ -131,6 +131,12 @@ def test_land_batch_refuses_incomplete_steps(spark, scratch):
     rep = writers.land_batch(spark, feeds, scratch + "/landed", steps=[4, 6])
     assert rep.count() == 2
     assert not os.path.exists(scratch.replace("file:", "") + "/landed/fraud/step=5")
+    # a single step lands unclustered and replaces only itself
+    writers.land_batch(spark, feeds, scratch + "/landed", steps=[6])
+    back = feed_src.read_feed(spark, scratch + "/landed", "transactions", fmt="parquet")
+    want = {s: tx.filter(F.col("step") == s).count() for s in (4, 6)}
+    got = {r["step"]: r["count"] for r in back.groupBy("step").count().collect()}
+    assert got == want
 
 
 def test_write_warehouse_sets_table_option(spark, scratch):
