@@ -57,7 +57,9 @@ def test_entry_runs(spark):
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
 PURE = ["transaction_ids", "silver_enriched", "hourly_fraud_metrics", "victim_profile",
         "system_audit", "trends_detailed", "unmatched_rows", "duplicate_keys",
-        "feed_completeness", "corrupt_rate"]
+        "feed_completeness", "corrupt_rate", "hourly_fraud_metrics_ordered",
+        "victim_profile_ordered", "hourly_fraud_metrics_one_pass", "corrupt_rows",
+        "retention_expired", "step_counts"]
 
 
 @pytest.mark.parametrize("name", PURE)
