@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, near_dedup, quality
 
-_MODULES = [exact_dedup]
+_MODULES = [near_dedup, exact_dedup, quality]
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: s for m in _MODULES for k, s in m.ORACLES.items()}
