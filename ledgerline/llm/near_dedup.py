@@ -27,7 +27,7 @@ PERMS = 128
 ROWS = 4  # 32 bands of 4: a pair at similarity 0.8 shares no band with probability 5e-8
 BATCH = 16
 MISS = 1e-6
-BLOCK = 2048
+BLOCK = 1 << 20  # shingles a side that one comparison task holds
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -159,16 +159,20 @@ def _bayes(pairs: DataFrame, sigs: DataFrame, threshold: float, miss: float) ->
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, k: int, threshold: float) -> DataFrame:
-    """The (a, b) pairs whose full shingle sets are similar enough."""
-    percent = round(threshold * 100)
-
-    def sets_of(batches):
+def _sets(docs: DataFrame, k: int) -> DataFrame:
+    """doc_id, s: the sorted shingle hashes as bytes."""
+    def run(batches):
         for b in slices(batches):
             sets = shingle_sets(*text_bytes(b.column("text")), k)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())],
                 ["doc_id", "s"])
+    return docs.mapInArrow(run, "doc_id bigint, s binary")
+
+
+def _confirm(pairs: DataFrame, docs: DataFrame, k: int, threshold: float) -> DataFrame:
+    """The (a, b) pairs whose full shingle sets are similar enough."""
+    percent = round(threshold * 100)
 
     def run(batches):
         for b in batches:
@@ -183,63 +187,82 @@ def _confirm(pairs: DataFrame, docs: DataFrame, k: int, threshold: float) -> Dat
                 [pa.array([a_ids[i] for i in keep], pa.int64()),
                  pa.array([b_ids[i] for i in keep], pa.int64())], ["a", "b"])
     ids = small(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(sets_of, "doc_id bigint, s binary") \
-        .dropDuplicates(["doc_id"])
+    sets = _sets(docs.join(ids, "doc_id", "left_semi"), k).dropDuplicates(["doc_id"])
     return pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), "a") \
         .join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("y")), "b") \
         .select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def _block_pairs(bands: DataFrame, comps: DataFrame, sigs: DataFrame,
+def _join_components(ids, comp, query, sig, sets, threshold, miss):
+    """Links that join components: each query row against the rows of others.
+
+    Pairs of one component (links found here included) are not compared, so
+    at most one link for each join of two components comes out.
+    """
+    percent = round(threshold * 100)
+    root = comp.copy()
+    links = []
+    for q in np.flatnonzero(query):
+        at = np.flatnonzero(~query & (root != root[q]))
+        hits = at[survivors(np.broadcast_to(sig[q], (len(at), PERMS)), sig[at], threshold, miss)]
+        order = np.argsort(-(sig[hits] == sig[q]).sum(1), kind="stable")
+        for m in hits[order]:
+            if root[m] != root[q]:
+                both = len(np.intersect1d(sets[q], sets[m], assume_unique=True))
+                if 100 * both >= percent * (len(sets[q]) + len(sets[m]) - both):
+                    links.append((ids[q], ids[m]))
+                    root[root == root[m]] = root[q]
+    return links
+
+
+def _block_links(bands: DataFrame, comps: DataFrame, reps: DataFrame, docs: DataFrame, k: int,
                  threshold: float, miss: float, block: int) -> DataFrame | None:
-    """Surviving pairs between components that still share a bucket; None if there are none.
+    """Links between components that still share a bucket; None if none share one.
 
     Such a bucket's members outside its largest component (the stragglers) are
-    compared with all its members, in cells of about block x block rows.
+    compared with all its members, in cells of about ``block`` shingles a side.
     """
     known = bands.join(comps, F.col("doc_id") == F.col("node"), "left").select(
         "band", "key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = known.groupBy("band", "key").agg(
         F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"),
-        F.max("component").alias("hi")).where("n > 2 AND lo <> hi").select("band", "key", "n")
-    rows = cut(known.join(mixed, ["band", "key"]), "mixed-buckets")
+        F.max("component").alias("hi")).where("n > 2 AND lo <> hi").select("band", "key")
+    rows = cut(known.join(mixed, ["band", "key"])
+               .join(reps.select("doc_id", "n_shingles"), "doc_id"), "mixed-buckets")
     if not rows.limit(1).count():
         return None
-    parts = rows.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("c"))
+    parts = rows.groupBy("band", "key", "component").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("n_shingles").alias("w"))
     main = parts.groupBy("band", "key").agg(
-        F.max(F.struct("c", (-F.col("component")).alias("neg"))).alias("top")).select(
-        "band", "key", (-F.col("top.neg")).alias("main"), F.col("top.c").alias("c"))
-    rows = rows.join(main, ["band", "key"]).withColumns({
-        "stray": F.col("component") != F.col("main"),
-        "cells_m": F.ceil(F.col("n") / block).cast("int"),
-        "cells_s": F.ceil((F.col("n") - F.col("c")) / block).cast("int")})
+        F.max(F.struct("c", (-F.col("component")).alias("neg"), "w")).alias("top"),
+        F.sum("w").alias("w")).select(
+        "band", "key", (-F.col("top.neg")).alias("main"),
+        F.ceil(F.col("w") / block).cast("int").alias("cells_m"),
+        F.ceil((F.col("w") - F.col("top.w")) / block).cast("int").alias("cells_s"))
+    rows = rows.join(main, ["band", "key"])
     spread = F.xxhash64("doc_id")
     members = rows.select("band", "key", "doc_id", "component", F.lit(False).alias("query"),
                           F.pmod(spread, "cells_m").cast("int").alias("cm"),
                           F.explode(F.sequence(F.lit(0), F.col("cells_s") - 1)).alias("cs"))
-    strays = rows.where("stray").select(
+    strays = rows.where("component <> main").select(
         "band", "key", "doc_id", "component", F.lit(True).alias("query"),
         F.explode(F.sequence(F.lit(0), F.col("cells_m") - 1)).alias("cm"),
         F.pmod(spread, "cells_s").cast("int").alias("cs"))
-    cells = members.unionByName(strays).join(sigs.select("doc_id", "sig"), "doc_id")
+    ids = small(rows.select("doc_id").distinct())
+    full = cut(_sets(docs.join(ids, "doc_id", "left_semi"), k)
+               .join(reps.select("doc_id", "sig"), "doc_id").dropDuplicates(["doc_id"]),
+               "mixed-sets")
+    cells = members.unionByName(strays).join(full, "doc_id")
 
     def compare(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
-        ids, comp = (t.column(c).to_numpy() for c in ("doc_id", "component"))
-        query = np.asarray(t.column("query").to_pylist(), bool)
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column("s")]
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, PERMS)
-        m = np.flatnonzero(~query)
-        left, right = [], []
-        for q in np.flatnonzero(query):
-            # both strays of one cell are each other's members: keep one order
-            at = m[(comp[m] != comp[q])]
-            hit = at[survivors(np.broadcast_to(sig[q], (len(at), PERMS)), sig[at], threshold, miss)]
-            left.append(np.full(len(hit), ids[q]))
-            right.append(ids[hit])
-        a = np.concatenate(left) if left else np.empty(0, np.int64)
-        b = np.concatenate(right) if right else np.empty(0, np.int64)
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()),
-                         "b": pa.array(np.maximum(a, b), pa.int64())})
+        links = _join_components(
+            t.column("doc_id").to_numpy(), t.column("component").to_numpy(),
+            np.asarray(t.column("query").to_pylist(), bool), sig, sets, threshold, miss)
+        return pa.table({"a": pa.array([min(x) for x in links], pa.int64()),
+                         "b": pa.array([max(x) for x in links], pa.int64())})
     return cells.groupBy("band", "key", "cm", "cs").applyInArrow(compare, "a bigint, b bigint") \
         .distinct()
 
@@ -265,7 +288,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut(sets.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
     member = sets.join(classes, key).select("doc_id", "rep").distinct()
     reps = sets.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi") \
-        .select("doc_id", "sig").dropDuplicates(["doc_id"])
+        .select("doc_id", "n_shingles", "sig").dropDuplicates(["doc_id"])
     reps = cut(reps, "representatives")
     n_bands = PERMS // ROWS
     bands = reps.select("doc_id", F.posexplode(F.transform(
@@ -280,12 +303,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     maybe = cut(_bayes(pairs, reps, threshold, miss), "survivors")
     links = cut(_confirm(maybe, text, k, threshold), "confirmed")
     comps = cut(connected_components(links), "components")
-    rest = _block_pairs(shared.drop("head", "n"), comps, reps, threshold, miss, block)
+    rest = _block_links(shared.drop("head", "n"), comps, reps, text, k, threshold, miss, block)
     if rest is not None:
-        rest = cut(rest, "block-survivors")
-        if rest.limit(1).count():
-            links = links.unionByName(_confirm(rest, text, k, threshold))
-            comps = cut(connected_components(links), "components")
+        comps = cut(connected_components(links.unionByName(cut(rest, "block-links"))), "components")
     named = member.join(comps, F.col("rep") == F.col("node"), "left").select(
         "doc_id", F.coalesce("component", "rep").alias("component"))
     return sketch.select("doc_id", "n_shingles").join(named, "doc_id", "left").select(
