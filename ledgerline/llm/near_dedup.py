@@ -314,6 +314,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         k: int = 5, threshold: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that stay: of each linked group the smallest doc_id, all columns.
+
+    Rows without shingles or without doc_id are in no group and stay. The ids
+    that go are anti-joined (broadcast when a count shows that they are few).
+    """
+    found = near_duplicates(docs, id_col, text_col, k, threshold)
+    gone = cut(found.where("NOT kept AND doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("_gone")).distinct(), "near-copies")
+    return docs.join(small(gone), F.col(id_col) == F.col("_gone"), "left_anti")
+
+
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, threshold=0.8)
 
