@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, near_dedup, pieces, quality
+from . import decontaminate, exact_dedup, near_dedup, pieces, quality, repeats
 
-_MODULES = [pieces, decontaminate, near_dedup, exact_dedup, quality]
+_MODULES = [repeats, pieces, decontaminate, near_dedup, exact_dedup, quality]
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: s for m in _MODULES for k, s in m.ORACLES.items()}
