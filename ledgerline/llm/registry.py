@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, near_dedup, pieces, quality, repeats
+from . import (decontaminate, exact_dedup, language, licenses, near_dedup, pieces, quality, repeats,
+               secrets, url_filter)
 
-_MODULES = [repeats, pieces, decontaminate, near_dedup, exact_dedup, quality]
+_MODULES = [url_filter, repeats, secrets, pieces, decontaminate, near_dedup, licenses, language,
+            exact_dedup, quality]
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: s for m in _MODULES for k, s in m.ORACLES.items()}
