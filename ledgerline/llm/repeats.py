@@ -5,13 +5,14 @@ the corpus is removed. The corpus is never in one suffix array:
 
 1. Each string of ``length`` bytes (a window) belongs to one of its 32-byte
    grams, the one with the smallest hash (the first such). Equal windows thus
-   belong to equal grams, so only windows of grams that occur more than once
-   can repeat. Neighbouring windows of one gram form a stretch.
-2. Stretches of repeated grams go to shards by gram. A task sends equal
-   stretches once and settles its own later copies by itself. The windows of
-   a gram that occurs more than ``hot`` times go one by one, by their own
-   hash, so no shard grows with one passage.
-3. Each shard is sorted by a suffix array (Larsson-Sadakane refinement), the
+   belong to equal grams. Neighbouring windows of one gram form a stretch, known
+   by its gram, a hash of its bytes and its place.
+2. Of equal stretches all but the earliest are repeats: a task settles its own
+   copies, the rest meet by gram. A gram with one stretch content is done; only
+   the contents of grams with several go on, with their bytes.
+3. They go to shards by gram. The windows of a gram with more than ``hot``
+   contents go one by one, by their own hash, so no shard grows with one passage.
+   Each shard is sorted by a suffix array (Larsson-Sadakane refinement), the
    common prefixes of neighbours show equal windows, all but the earliest are
    marked. What a shard's last gram has in the shard before it is found by
    binary search in that shard's sorted windows.
@@ -27,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, mix, slices, small, table, text_bytes, text_only
+from .common import cut, mix, slices, table, text_bytes, text_only
 
 LENGTH = 100
 GRAM = 32
-#: A gram with more occurrences than this sends single windows.
+#: A gram with more stretch contents than this sends single windows.
 HOT = 20_000
+#: Stretches among which a task settles copies before it sends them on.
+LOCAL_ROWS = 1_000_000
 #: Bytes of stretches that one suffix array holds, and that a task remembers to find copies.
 SHARD_BYTES = 2 << 20
 LOCAL_BYTES = 16 << 20
@@ -54,10 +57,13 @@ def gram_hashes(data: np.ndarray, k: int = GRAM) -> np.ndarray:
 
 
 def stretches(data: np.ndarray, off: np.ndarray, length: int = LENGTH):
-    """(gram hash, row, first window, last window) of all stretches; positions in the row."""
+    """(gram hash, content hash, row, first window, last window) of all stretches.
+
+    Positions count from the row's start.
+    """
     none = np.empty(0, np.int64)
     if len(data) < length:
-        return np.empty(0, np.uint64), none, none, none
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), none, none, none
     h = gram_hashes(data)
     # smallest hash first, then the first position
     best = ((h >> np.uint64(32)) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
@@ -70,13 +76,17 @@ def stretches(data: np.ndarray, off: np.ndarray, length: int = LENGTH):
     owner = (best & _LOW).astype(np.int64)  # of the window that starts here
     count = np.maximum(np.diff(off) - length + 1, 0)
     if not count.any():
-        return np.empty(0, np.uint64), none, none, none
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), none, none, none
     row = np.repeat(np.arange(len(count)), count)
     at = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + off[:-1][row]
     own = owner[at]
     first = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (row[1:] != row[:-1])]))
     last = np.append(first[1:], len(own)) - 1
-    return (h[own[first]], row[first], at[first] - off[row[first]], at[last] - off[row[first]])
+    start, end = at[first], at[last] + length - GRAM
+    content = (end - start).astype(np.uint64)
+    for step in range(0, 2 * length, GRAM):  # grams that cover all of the stretch
+        content = mix(content ^ h[np.minimum(start + step, end)]) * _P[0]
+    return h[own[first]], content, row[first], start - off[row[first]], at[last] - off[row[first]]
 
 
 def suffix_array(data: np.ndarray, depth: int):
@@ -202,15 +212,32 @@ class _Shards:
     def __init__(self, length: int, shard_bytes: int):
         self.length, self.limit = length, shard_bytes
         self.rows: list[tuple[int, int, int, bytes]] = []
+        self.group: list[tuple[int, int, int, bytes]] = []
         self.size = 0
         self.gram, self.known = None, np.empty(0, f"S{length}")
 
-    def add(self, gram: int, doc: int, lo: int, text: bytes):
-        self.rows.append((gram, doc, lo, text))
+    def add(self, gram: int, doc: int, lo: int, text: bytes) -> bool:
+        """Take one stretch; true if the shard is full."""
+        if self.group and gram != self.group[0][0]:
+            self._close()
+        self.group.append((gram, doc, lo, text))
         self.size += len(text)
         return self.size >= self.limit
 
-    def flush(self):
+    def _close(self):
+        """A gram with one stretch repeats nothing, unless the shard before has some of it."""
+        if len(self.group) > 1 or self.group and self.group[0][0] == self.gram:
+            self.rows += self.group
+        else:
+            self.size -= sum(len(r[3]) for r in self.group)
+        self.group = []
+
+    def flush(self, end: bool = False):
+        """The repeated intervals of the shard; its last gram may go on in the next one."""
+        if end:
+            self._close()
+        else:
+            self.rows, self.group = self.rows + self.group, []
         rows, self.rows, self.size = self.rows, [], 0
         if not rows:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
@@ -240,21 +267,83 @@ class _Shards:
         return _united(d, p, p + n)
 
 
+_STRETCH = "gram bigint, content bigint, ord bigint, lo bigint, hi bigint, known boolean"
+
+
 def _grams(docs: DataFrame, length: int) -> DataFrame:
-    """gram, ord, first and last window of each stretch."""
+    """All stretches: gram, content, ord, first window lo, end of the last one hi.
+
+    Copies that a task sees itself come as known repeats, united, on their own.
+    """
+    def settle(parts):
+        gram, content, doc, lo, hi = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((lo, doc, content, gram))
+        gram, content, doc, lo, hi = (x[order] for x in (gram, content, doc, lo, hi))
+        copy = np.zeros(len(gram), bool)
+        copy[1:] = (gram[1:] == gram[:-1]) & (content[1:] == content[:-1])
+        d, a, z = _united(doc[copy], lo[copy], hi[copy])
+        known = np.repeat([False, True], [int((~copy).sum()), len(d)])
+        columns = [[gram[~copy], mix(d.view(np.uint64))], [content[~copy], np.zeros(len(d), np.uint64)],
+                   [doc[~copy], d], [lo[~copy], a], [hi[~copy], z]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(c).view(np.int64)) for c in columns] + [pa.array(known)],
+            ["gram", "content", "ord", "lo", "hi", "known"])
+
     def run(batches):
+        parts, rows = [], 0
         for b in slices(batches):
-            gram, row, lo, hi = stretches(*text_bytes(b.column("text")), length)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram.view(np.int64)), b.column("ord").take(pa.array(row)),
-                 pa.array(lo), pa.array(hi)], ["gram", "ord", "lo", "hi"])
-    return docs.mapInArrow(run, "gram bigint, ord bigint, lo bigint, hi bigint")
+            gram, content, row, lo, hi = stretches(*text_bytes(b.column("text")), length)
+            parts.append((gram, content, b.column("ord").to_numpy()[row], lo, hi + length))
+            rows += len(gram)
+            if rows >= LOCAL_ROWS:
+                yield settle(parts)
+                parts, rows = [], 0
+        if rows:
+            yield settle(parts)
+    return docs.mapInArrow(run, _STRETCH)
+
+
+def _meet(found: DataFrame) -> DataFrame:
+    """Repeats (gram null), and the stretches whose gram has several contents.
+
+    Runs over each partition in the order of gram, content and place, with one
+    stretch held back, so a gram of any size needs no memory.
+    """
+    names = ["gram", "ord", "lo", "hi"]
+
+    def out(gram, doc, lo, hi):
+        return pa.RecordBatch.from_arrays([gram, *map(pa.array, (doc, lo, hi))], names)
+
+    def run(batches):
+        held = np.empty((5, 0), np.int64)  # the last distinct stretch: gram, content, ord, lo, hi
+        several = False                    # whether its gram had one before it
+        for b in batches:
+            known = b.column("known")
+            x = np.stack([b.column(c).to_numpy() for c in ("gram", "content", "ord", "lo", "hi")])
+            is_known = np.asarray(known.to_pylist(), bool)
+            done, x = x[:, is_known], np.concatenate([held, x[:, ~is_known]], 1)
+            if x.shape[1]:
+                copy = np.zeros(x.shape[1], bool)
+                copy[1:] = (x[0, 1:] == x[0, :-1]) & (x[1, 1:] == x[1, :-1])
+                done = np.concatenate([done, x[:, copy]], 1)
+                x = x[:, ~copy]
+                like = np.zeros(x.shape[1] + 1, bool)
+                like[1:-1] = x[0, 1:] == x[0, :-1]
+                like[0] = several
+                go = (like[:-1] | like[1:])[:-1]
+                send, held, several = x[:, :-1][:, go], x[:, -1:], bool(like[-2])
+                yield out(pa.array(send[0]), *send[2:])
+            yield out(pa.nulls(done.shape[1], pa.int64()), *done[2:])
+        if several:
+            yield out(pa.array(held[0]), *held[2:])
+    return found.repartition("gram").sortWithinPartitions("gram", "content", "ord", "lo") \
+        .mapInArrow(run, "gram bigint, ord bigint, lo bigint, hi bigint")
 
 
 _OUT = "gram bigint, ord bigint, lo bigint, hi bigint, body binary"
 
 
-def _send(docs: DataFrame, length: int, hot: int) -> DataFrame:
+def _send(docs: DataFrame, length: int) -> DataFrame:
     """Stretches with their bytes, each content once for each task; later copies as intervals.
 
     An interval (body null) says that ord's bytes lo to hi are repeats already.
@@ -285,14 +374,14 @@ def _send(docs: DataFrame, length: int, hot: int) -> DataFrame:
                 text = text.as_buffer().to_pybytes()
                 for s in found.as_py():
                     lo, hi, gram = s["lo"], s["hi"], s["gram"]
-                    if s["n"] > hot:  # single windows, by their own hash
-                        part = np.frombuffer(text[lo:hi + length], np.uint8)
-                        own = gram_hashes(part)
-                        own = mix(own[:hi - lo + 1] ^ mix(own[length - GRAM:][:hi - lo + 1]))
+                    if s["hot"]:  # single windows, by their own hash
+                        own = gram_hashes(np.frombuffer(text[lo:hi], np.uint8))
+                        n = hi - lo - length + 1
+                        own = mix(own[:n] ^ mix(own[length - GRAM:][:n]))
                         pieces = [(int(g), lo + j, text[lo + j:lo + j + length])
                                   for j, g in enumerate(own.view(np.int64))]
                     else:
-                        pieces = [(gram, lo, text[lo:hi + length])]
+                        pieces = [(gram, lo, text[lo:hi])]
                     for g, at, body in pieces:
                         key, here = (g, body), (ord_, at)
                         seen = first.get(key)
@@ -331,7 +420,7 @@ def _shard(sent: DataFrame, length: int, shard_bytes: int) -> DataFrame:
             for row in zip(*(rest.column(c).to_pylist() for c in ("gram", "ord", "lo", "body"))):
                 if shards.add(*row):
                     yield batch(*shards.flush())
-        yield batch(*shards.flush())
+        yield batch(*shards.flush(end=True))
     return sent.repartition("gram").sortWithinPartitions("gram", "ord", "lo") \
         .mapInArrow(run, "ord bigint, lo bigint, hi bigint")
 
@@ -356,13 +445,16 @@ def _numbered(docs: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT,
                    shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """ord, spans (array of lo, hi) of the documents that have repeats; ``docs`` has ord and text."""
-    grams = _grams(docs.select("ord", "text"), length)
-    often = small(cut(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
-                      "repeated-grams"))
-    found = grams.join(often, "gram").groupBy("ord").agg(
-        F.collect_list(F.struct("lo", "hi", "gram", "n")).alias("found"))
-    sent = _send(docs.select("ord", "text").join(found, "ord", "left"), length, hot)
-    return cut(_shard(sent, length, shard_bytes).groupBy("ord").agg(
+    met = cut(_meet(_grams(docs.select("ord", "text"), length)), "stretches")
+    several = met.where("gram IS NOT NULL")
+    many = several.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot) \
+        .select("gram", F.lit(True).alias("hot"))
+    found = several.join(many, "gram", "left").groupBy("ord").agg(F.collect_list(F.struct(
+        "lo", "hi", "gram", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("found"))
+    sent = _send(docs.select("ord", "text").join(found, "ord", "left"), length)
+    spans = _shard(sent, length, shard_bytes).unionByName(
+        met.where("gram IS NULL").select("ord", "lo", "hi"))
+    return cut(spans.groupBy("ord").agg(
         F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
 
 
@@ -380,7 +472,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     text = _numbered(text_only(docs, id_col, text_col))
     spans = repeated_spans(text, length, hot, shard_bytes)
-    joined = text.join(small(spans), "ord", "left").select("doc_id", "text", "spans")
+    joined = text.join(spans, "ord", "left").select("doc_id", "text", "spans")
     schema = ("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
               "kept_sha256 string, kept binary")
 
