@@ -14,7 +14,7 @@ from ledgerline.llm.common import cut, table
 from ledgerline.llm.decontaminate import drop_contaminated
 from ledgerline.llm.exact_dedup import drop_exact_duplicates
 from ledgerline.llm.near_dedup import drop_near_duplicates
-from ledgerline.llm.pieces import decode_pieces, encode_pieces, model_bytes
+from ledgerline.llm.pieces import encode_pieces, model_bytes
 from ledgerline.llm.quality import fit_quality, keep_quality
 
 
@@ -55,8 +55,7 @@ def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Returns doc_id, lang, source, n_chars, n_tokens, ids, decoded; a null text
     has null ids, n_tokens 0 and a null decoded text.
     """
-    model = model_bytes()
-    coded = decode_pieces(encode_pieces(docs, model), model)
+    coded = encode_pieces(docs, model_bytes(), decoded_col="decoded")
     return coded.select("doc_id", "lang", "source", "n_chars",
                         F.greatest(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
                         "ids", "decoded")

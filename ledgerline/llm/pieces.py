@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +28,8 @@ from .common import slices, table, text_only
 
 MARK = "▁"
 #: Distinct words whose pieces a worker remembers; beyond that it starts anew.
-CACHE_WORDS = 300_000
-CACHE_PAIRS = 1_000_000
+CACHE_WORDS = 800_000
+CACHE_PAIRS = 300_000
 
 
 class Pieces:
@@ -58,16 +59,19 @@ class Pieces:
                     self.ids[piece], self.scores[piece] = i, sp.get_score(i)
         by_end: dict[str, set[int]] = {}
         for p in self.ids:
-            if len(p) > 1:
-                by_end.setdefault(p[-2:], set()).add(len(p))
-        #: Lengths of the pieces that end in these two characters, longest first.
+            if len(p) > 3:
+                by_end.setdefault(p[-4:], set()).add(len(p))
+        self._len = np.array([len(x) for x in self.raw], np.int64)
+        self._at = np.cumsum(self._len) - self._len
+        self._buffer = np.frombuffer(b"".join(self.raw), np.uint8)
+        #: Lengths of the pieces of four characters or more by their last four, longest first.
         self.lengths = {end: sorted(n, reverse=True) for end, n in by_end.items()}
         inner = any(MARK in p.lstrip(MARK) for p in self.ids)
         # no piece has a mark after another character: such words are cut independently
         self.words = re.compile(".+" if inner else f"{MARK}*[^{MARK}]+|{MARK}+", re.S)
         self.floor = min(self.scores.values(), default=0.0) - 10.0
         self._pairs: dict[tuple[str, str], bool] = {}
-        self._cache: dict[str, list[int]] = {}
+        self._cache: dict[str, bytes] = {}  # a word's ids as int32
 
     # -- forward states -------------------------------------------------
     def _merge(self, text: str) -> list[str]:
@@ -111,19 +115,19 @@ class Pieces:
         known, floor = self.scores, self.floor
         for i in range(len(last), len(word) + 1):
             best, score = word[i - 1], total[i - 1] + known.get(word[i - 1], floor)
-            for n in self.lengths.get(word[i - 2:i], ()):
+            for n in (*self.lengths.get(word[i - 4:i] if i > 3 else "", ()), 3, 2):
                 if n <= i and (p := word[i - n:i]) in known and total[i - n] + known[p] > score:
                     best, score = p, total[i - n] + known[p]
             last.append(best)
             total.append(score)
 
     def _merged_step(self, word: str, last: list[str], total: list[float]) -> None:
-        known, pairs = self.scores, self._pairs
+        known, pairs, lengths, short = self.scores, self._pairs, self.lengths, (3, 2)
         if len(pairs) > CACHE_PAIRS:
             pairs.clear()
         for i in range(len(last), len(word) + 1):
             best = word[i - 1]
-            for n in self.lengths.get(word[i - 2:i], ()):
+            for n in (*longer, 3, 2) if i > 3 and (longer := lengths.get(word[i - 4:i])) else short:
                 if n <= i and (p := word[i - n:i]) in known:
                     if n == i:
                         best = p
@@ -151,26 +155,29 @@ class Pieces:
         return out
 
     # -- whole texts ----------------------------------------------------
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and where each text's begin (and the last one's end)."""
         split = [self.words.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         new = set().union(*split)
         if len(self._cache) + len(new) > CACHE_WORDS:
             self._cache.clear()
         new -= self._cache.keys()
         for word, cut in self._cuts(sorted(new)):
-            self._cache[word] = self._ids(cut)
-        cache, out = self._cache, []
-        for words in split:
-            ids: list[int] = []
-            for w in words:
-                ids += cache[w]
-            out.append(ids)
-        return out
-
-    def decode(self, ids) -> str:
-        raw = self.raw
-        text = b"".join([raw[i] for i in ids])
-        return text[text[:1] == b" ":].decode("utf-8", "replace")
+            self._cache[word] = np.array(self._ids(cut), np.int32).tobytes()
+        parts = [b"".join(map(self._cache.__getitem__, words)) for words in split]
+        off = np.cumsum([0] + [len(x) // 4 for x in parts])
+        return np.frombuffer(b"".join(parts), np.int32), off
+
+    def decode(self, ids: np.ndarray, off: np.ndarray) -> list[str]:
+        """The texts of some runs of ids."""
+        size = self._len[ids]
+        end = np.cumsum(size)
+        total = int(end[-1]) if len(end) else 0
+        at = np.arange(total) + np.repeat(self._at[ids] - (end - size), size)
+        raw = self._buffer[at].tobytes()
+        bound = np.concatenate([[0], end])[off].tolist()
+        texts = (raw[a:z] for a, z in zip(bound, bound[1:]))
+        return [t[t[:1] == b" ":].decode("utf-8", "replace") for t in texts]
 
 
 @lru_cache(maxsize=2)
@@ -188,28 +195,44 @@ def model_bytes(path: str | None = None) -> bytes:
         return f.read()
 
 
-def encode_pieces(docs: DataFrame, model: bytes, kind: str = "bpe",
-                  text_col: str = "text", out_col: str = "ids") -> DataFrame:
+#: Ids that are decoded at once inside a task.
+DECODE_IDS = 1 << 20
+
+
+def _list_column(flat: np.ndarray, off: np.ndarray, null: list[bool]) -> pa.Array:
+    offsets = pa.array(off.astype(np.int32))
+    if any(null):
+        return pa.ListArray.from_arrays(offsets, pa.array(flat), mask=pa.array(null))
+    return pa.ListArray.from_arrays(offsets, pa.array(flat))
+
+
+def encode_pieces(docs: DataFrame, model: bytes, kind: str = "bpe", text_col: str = "text",
+                  out_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
     """``docs`` with an array<int> column of piece ids.
 
     A null text has null ids, an empty one an empty array. Texts of any length
     are encoded whole. ``model`` is the file's content (a vocabulary, of the
-    order of a megabyte, sent with the task).
+    order of a megabyte, sent with the task). With ``decoded_col`` the ids are
+    also decoded again, in the same pass. Rows are independent: repeated ones
+    give equal results, an empty table an empty one; other columns are kept.
     """
-    schema = T.StructType([*docs.schema.fields, T.StructField(out_col, T.ArrayType(T.IntegerType()))])
+    added = [T.StructField(out_col, T.ArrayType(T.IntegerType()))]
+    if decoded_col:
+        added.append(T.StructField(decoded_col, T.StringType()))
+    schema = T.StructType([*docs.schema.fields, *added])
     at = docs.columns.index(text_col)
 
     def run(batches):
         pieces = load(model, kind)
         for b in slices(batches, at):
             texts = b.column(at).to_pylist()
-            ids = pieces.encode([t or "" for t in texts])
-            ends = np.cumsum([0] + [len(x) for x in ids], dtype=np.int32)
-            flat = np.fromiter((i for x in ids for i in x), np.int32, int(ends[-1]))
-            nulls = pa.array([t is None for t in texts])
-            col = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=nulls) \
-                if b.column(at).null_count else pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*b.columns, col], names=schema.names)
+            null = [t is None for t in texts]
+            flat, off = pieces.encode([t or "" for t in texts])
+            columns = [*b.columns, _list_column(flat, off, null)]
+            if decoded_col:
+                back = pieces.decode(flat, off)
+                columns.append(pa.array([None if n else t for n, t in zip(null, back)], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
     return docs.mapInArrow(run, schema)
 
 
@@ -225,10 +248,21 @@ def decode_pieces(docs: DataFrame, model: bytes, ids_col: str = "ids",
 
     def run(batches):
         pieces = load(model)
-        for b in batches:
-            texts = [None if x is None else pieces.decode(x) for x in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
-                                             names=schema.names)
+        for whole in batches:
+            size = pa.compute.fill_null(pa.compute.list_value_length(whole.column(at)), 0)
+            end = np.cumsum(size.to_numpy(zero_copy_only=False))
+            first = 0
+            while first < whole.num_rows:
+                limit = (end[first - 1] if first else 0) + DECODE_IDS
+                last = max(int(np.searchsorted(end, limit, side="right")), first + 1)
+                b = whole.slice(first, last - first)
+                ids, first = b.column(at), last
+                off = np.concatenate([[0], np.cumsum(pa.compute.fill_null(
+                    pa.compute.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+                texts = pieces.decode(ids.flatten().to_numpy(), off)
+                texts = [t if v else None for t, v in zip(texts, ids.is_valid().to_pylist())]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
+                                                 names=schema.names)
     return docs.mapInArrow(run, schema)
 
 
@@ -236,7 +270,7 @@ def op4_sentencepiece(spark, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and whether decoding gives the text back."""
     model = model_bytes()
     docs = table(spark, sf_dir, "documents")
-    coded = decode_pieces(encode_pieces(text_only(docs), model), model)
+    coded = encode_pieces(text_only(docs), model, decoded_col="decoded")
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
                         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 

@@ -25,6 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
