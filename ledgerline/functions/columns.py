@@ -57,16 +57,17 @@ def fraud_status(is_fraud: str | Column = "isFraud") -> Column:
 
 
 def money(c: str | Column, scale: int | None) -> Column:
-    """Money value for exact aggregation: ``decimal(18, scale)`` or as is.
+    """Money value for exact aggregation: ``decimal(38, scale)`` or as is.
 
     Summing decimals is exact and therefore independent of partitioning and
     task order; summing doubles is not.
     """
     if scale is None:
         return _col(c)
-    return _col(c).cast(f"decimal(18,{scale})")
+    return _col(c).cast(f"decimal(38,{scale})")
 
 
+MICROS_PER_HOUR = 3_600_000_000
 _EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
@@ -78,5 +79,4 @@ def hour_of(ts: str | Column) -> Column:
     """
     epoch = F.lit(_EPOCH_NTZ).cast("timestamp_ntz")
     micros = F.timestamp_diff("MICROSECOND", epoch, _col(ts))
-    hours = F.floor(micros / F.lit(JITTER_RANGE_MICROS)).cast("bigint")
-    return F.timestamp_add("HOUR", hours, epoch)
+    return F.timestamp_add("MICROSECOND", -F.pmod(micros, F.lit(MICROS_PER_HOUR)), _col(ts))

@@ -2,7 +2,7 @@
 
 Aggregations are plain ``groupBy().agg()`` so Spark runs them as partial
 (map-side) + final hash aggregation: a hot ``type`` is combined inside each
-map task before the shuffle. Money columns are summed as ``decimal(18, 2)``
+map task before the shuffle. Money columns are summed as ``decimal(38, 4)``
 by default (``money_scale``), which makes totals and averages exact and
 independent of partitioning; ``money_scale=None`` sums the doubles as is.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import balance_error, fraud_status, hour_of, money
 
-MONEY_SCALE = 2
+MONEY_SCALE = 4  # keeps sub-cent values; decimal(38, 4) holds amounts up to 10^34
 
 
 def _money_sum(c: str, scale: int | None) -> Column:
@@ -70,7 +70,7 @@ def system_audit(silver: DataFrame) -> DataFrame:
     missed = label and no flag, caught = label and flag, false alarm = flag
     without label. True negatives are not reported.
     """
-    f, g = F.col("isFraud"), F.col("isFlaggedFraud")
+    f, g = F.col("isFraud").cast("bigint"), F.col("isFlaggedFraud").cast("bigint")
     one = F.lit(1)
     return silver.groupBy("type").agg(
         F.sum(f * (one - g)).cast("bigint").alias("missed_fraud"),
@@ -99,7 +99,7 @@ def gold_aggregates_one_pass(silver: DataFrame, *, money_scale: int | None = MON
     the shared checkpoint folder (``materialize``) and split into the three
     tables without recomputing the scan.
     """
-    f, g = F.col("isFraud"), F.col("isFlaggedFraud")
+    f, g = F.col("isFraud").cast("bigint"), F.col("isFlaggedFraud").cast("bigint")
     one = F.lit(1)
     hour = hour_of("transaction_time").alias("_hour")
     agg = silver.select(hour, "type", "isFraud", "isFlaggedFraud", "transaction_id",

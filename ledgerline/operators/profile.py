@@ -33,9 +33,17 @@ def audit_columns(processed_at=None, job: str = PROCESSING_JOB) -> list[Column]:
 
 
 def row_id(df: DataFrame) -> Column:
-    """``id * 2`` when an ``id`` column exists (as bigint: no int overflow),
-    else 0."""
+    """``id * 2`` when an ``id`` column exists, else 0.
+
+    Integers are doubled as bigint (no overflow), fractional ids keep their
+    fraction, a text id is read as a number (NULL if it is none).
+    """
     if "id" in df.columns:
+        kind = df.schema["id"].dataType
+        if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
+            return (F.col("id") * F.lit(2)).alias("row_id")
+        if isinstance(kind, T.StringType):
+            return (F.expr("try_cast(id AS double)") * F.lit(2)).alias("row_id")
         return (F.col("id").cast("bigint") * F.lit(2)).alias("row_id")
     return F.lit(0).alias("row_id")
 

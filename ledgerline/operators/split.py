@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators._joins import MAX_BROADCAST_ROWS, join_bounded
 from ledgerline.schemas import KEY, STEP
+from ledgerline.session import scratch_path
 
 ID_PREFIX = "TXN"  # fixed value: ids read TXN-{step}-{n}
 TIEBREAK = "_tiebreak"
@@ -60,8 +61,9 @@ def with_transaction_id(raw: DataFrame, order_by: list[str] | None = None, *,
     4. the summary is joined back; it is broadcast only when that bound is
        known to be small (``n_steps`` is counted if not given).
 
-    The sort exchange is shared by both branches (exchange reuse), so the big
-    data is shuffled once. With the broadcast, the result keeps the range
+    The sorted rows are stored once below the shared checkpoint folder, and
+    both the summary and the numbering read that copy: they always see the same
+    partitions, whatever the planner does. With the broadcast, the result keeps the range
     partitioning and order on ``(step, ...)`` (:func:`ids_keep_step_layout`),
     so step-partitioned writes of it need no further shuffle.
     """
@@ -77,7 +79,11 @@ def with_transaction_id(raw: DataFrame, order_by: list[str] | None = None, *,
               .repartitionByRange(n_parts, *sort_cols)
               .sortWithinPartitions(*sort_cols)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()))
+              .withColumn("_pos", F.monotonically_increasing_id())
+              .drop(TIEBREAK))
+    stored = scratch_path(raw.sparkSession, "ranked")
+    ranked.write.parquet(stored)
+    ranked = raw.sparkSession.read.schema(ranked.schema).parquet(stored)
 
     runs = ranked.groupBy("_pid", STEP).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))

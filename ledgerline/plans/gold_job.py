@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.operators.gold import gold_tables
+from ledgerline.operators.gold import GOLD_TABLES, gold_tables
 from ledgerline.sinks.writers import write_any, write_warehouse
 from ledgerline.sources.files import read_table
 
@@ -34,13 +34,18 @@ def run_gold(spark: SparkSession, silver_path: str, publish: Publisher,
     silver (one ``GROUPING SETS`` aggregation; measured faster than three
     scans in ``bench.py``); ``one_pass=False`` runs one aggregation each.
     """
+    unknown = set(tables or []) - set(GOLD_TABLES)
+    if unknown:
+        raise ValueError(f"unknown gold tables: {sorted(unknown)}")
+    wanted = set(GOLD_TABLES if tables is None else tables)
+    one_pass = one_pass and bool(wanted - {"TRANSACTION_TRENDS_DETAILED"})
     silver = read_table(spark, silver_path, silver_fmt)
     if cache:
         silver = silver.persist()
     done = []
     try:
         for name, df in gold_tables(silver, one_pass).items():
-            if tables is None or name in tables:
+            if name in wanted:
                 publish(df, name)
                 done.append(name)
     finally:

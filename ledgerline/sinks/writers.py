@@ -129,7 +129,11 @@ def write_feeds(feeds: Mapping[str, DataFrame], root: str, fmt: str = "csv",
 
 
 class IncompleteBatchError(RuntimeError):
-    """A step lacks at least one of the three feeds."""
+    """A step lacks at least one of the three feeds; ``report`` has all steps."""
+
+    def __init__(self, message: str, report: DataFrame | None = None):
+        super().__init__(message)
+        self.report = report
 
 
 def land_batch(spark: SparkSession, feeds: Mapping[str, DataFrame], dst_root: str,
@@ -143,6 +147,8 @@ def land_batch(spark: SparkSession, feeds: Mapping[str, DataFrame], dst_root: st
     keeps ``_source_file`` when the input carries it. Returns the
     completeness report.
     """
+    if set(feeds) != set(FEEDS):
+        raise IncompleteBatchError(f"feeds given: {sorted(feeds)}; needed: {sorted(FEEDS)}")
     if steps is not None:
         wanted = [int(s) for s in steps]
         feeds = {n: d.filter(F.col(STEP).isin(wanted)) for n, d in feeds.items()}
@@ -153,11 +159,10 @@ def land_batch(spark: SparkSession, feeds: Mapping[str, DataFrame], dst_root: st
     bad = [r[0] for r in report.filter(~F.col("complete")).select(STEP)
            .orderBy(STEP).limit(20).collect()]
     if bad:
-        raise IncompleteBatchError(f"steps missing a feed: {bad}")
+        raise IncompleteBatchError(f"steps missing a feed (first 20): {bad}", report)
     # one step needs no clustering: each input split writes one file of it
     cluster = steps is None or len(wanted) > 1
     for name in FEEDS:
-        if name in feeds:
-            write_batch(feeds[name], f"{dst_root.rstrip('/')}/{name}", mode="replace",
-                        fmt=fmt, partitions=partitions, cluster=cluster)
+        write_batch(feeds[name], f"{dst_root.rstrip('/')}/{name}", mode="replace",
+                    fmt=fmt, partitions=partitions, cluster=cluster)
     return report

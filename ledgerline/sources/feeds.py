@@ -2,7 +2,7 @@
 
 Feeds are stored one directory per feed, partitioned by ``step``
 (``<root>/<feed>/step=<n>/``); selecting steps is a partition filter, so only
-those directories are listed and read.
+those directories are read (all of them are listed).
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ def read_feed(spark: SparkSession, root: str, feed: str,
     schema = with_step(FEED_SCHEMAS[feed])
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        # a header that does not name the columns in this order is refused
+        reader = reader.option("header", True).option("enforceSchema", False)
     df = reader.load(f"{root.rstrip('/')}/{feed}")
     df = select_batch(df, steps).select(*schema.fieldNames())
     if with_source_file:
@@ -50,5 +51,6 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """The wide raw table with its explicit schema (header line expected)."""
     reader = spark.read.schema(RAW_SCHEMA).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        # a header that does not name the columns in this order is refused
+        reader = reader.option("header", True).option("enforceSchema", False)
     return reader.load(path)

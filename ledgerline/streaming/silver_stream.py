@@ -14,6 +14,7 @@ the batch report of :func:`ledgerline.operators.quality.unmatched_keys`.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -105,6 +106,10 @@ def start_silver_stream(spark: SparkSession, bronze_root: str, sink_path: str,
     stored in an existing checkpoint. A backfill of many steps in one run
     should bound its micro-batches with ``max_files_per_trigger``.
     """
+    if watermark and max_files_per_trigger:
+        raise ValueError(
+            "watermark with max_files_per_trigger loses rows: a bounded micro-batch may move the "
+            "watermark past steps whose files are still to come; use the batch job for a backfill")
     feeds = [feed_stream(spark, bronze_root, f, fmt, max_files_per_trigger)
              for f in FEED_SCHEMAS]
     out = silver_stream_frame(*feeds, watermark=watermark)
@@ -129,26 +134,39 @@ def start_silver_stream(spark: SparkSession, bronze_root: str, sink_path: str,
 def run_silver_stream_once(spark: SparkSession, bronze_root: str, sink_path: str,
                            checkpoint: str, fmt: str = "parquet",
                            watermark: str | None = None,
-                           timeout_s: float | None = 600,
+                           timeout_s: float | None = None,
                            state_partitions: int | None = None,
                            state_store: str | None = "rocksdb",
                            max_files_per_trigger: int | None = None) -> dict:
     """One incremental run; returns the number of micro-batches, input rows,
-    the rows held in join state after the last batch and the state store."""
+    rows dropped as later than the watermark, the rows held in join state after
+    the last batch and the state store. All batches of the run are counted."""
     q = start_silver_stream(spark, bronze_root, sink_path, checkpoint, fmt, watermark,
                             max_files_per_trigger=max_files_per_trigger,
                             state_partitions=state_partitions, state_store=state_store)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("silver stream did not finish in time")
+    # the query keeps only its last progress entries: gather them while it runs
+    seen: dict[int, dict] = {}
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+
+    def gather() -> None:
+        for p in q.recentProgress:
+            p = p if isinstance(p, dict) else p.jsonValue()
+            seen[p["batchId"]] = p
+    while not q.awaitTermination(2):
+        gather()
+        if deadline is not None and time.monotonic() > deadline:
+            q.stop()
+            raise TimeoutError("silver stream did not finish in time")
+    gather()
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    progress = [p if isinstance(p, dict) else p.jsonValue() for p in q.recentProgress]
+    progress = [seen[k] for k in sorted(seen)]
     rows = sum(p["numInputRows"] for p in progress)
     ops = progress[-1].get("stateOperators", []) if progress else []
     metrics = set().union(*[op.get("customMetrics", {}) for op in ops]) if ops else set()
     return {"batches": len(progress), "input_rows": rows,
+            "dropped_by_watermark": sum(op.get("numRowsDroppedByWatermark", 0)
+                                        for p in progress for op in p.get("stateOperators", [])),
             "state_rows": sum(op.get("numRowsTotal", 0) for op in ops),
             "state_store": "rocksdb" if any(m.startswith("rocksdb") for m in metrics)
             else ("memory" if ops else None)}

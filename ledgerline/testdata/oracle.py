@@ -2,7 +2,7 @@
 
 Every oracle query starts from the ``raw`` CTE below, which maps
 ``events JOIN customer`` exactly like :mod:`ledgerline.testdata.mapping`.
-Money sums go through ``decimal(18,2)`` like the Spark side, so both engines
+Money sums go through ``decimal(38,4)`` like the Spark side, so both engines
 produce bit-identical doubles regardless of summation order.
 """
 
@@ -72,7 +72,7 @@ FAULTY = with_ctes(RAW_CTE, IDS_CTE, FEEDS_CTE, FAULTY_CTE)
 
 
 def money_sum(c: str) -> str:
-    return f"cast(sum(cast({c} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"cast(sum(cast({c} AS DECIMAL(38,4))) AS DOUBLE)"
 
 
 def money_avg(c: str) -> str:

@@ -48,9 +48,9 @@ def test_ids_plan_has_one_sort_shuffle_and_bounded_broadcast(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in plan
     assert "BroadcastHashJoin" in plan
-    # the statistics branch reads the same range shuffle: data is sorted once
-    # and both branches see identical partitions
-    assert "ReusedExchange" in plan
+    # both branches read the stored sorted copy, so they see the same partitions
+    # whatever exchange the planner reuses
+    assert "rangepartitioning" not in plan
 
 
 def test_split_feeds_columns(spark):
@@ -88,7 +88,7 @@ def test_ids_leave_rows_range_clustered_by_step(spark):
     got = with_transaction_id(raw, partitions=6, n_steps=60)
     per_part = got.rdd.mapPartitions(lambda it: [[r["step"] for r in it]]).collect()
     assert sum(map(len, per_part)) == len(rows)
-    runs = [(p[0], p[-1]) for p in per_part if p]
+    runs = sorted((p[0], p[-1]) for p in per_part if p)  # the order of partitions does not matter
     assert all(p == sorted(p) for p in per_part)
     assert all(a[1] <= b[0] for a, b in zip(runs, runs[1:]))
     # the hot step is cut over several partitions, so each holds a share
