@@ -63,8 +63,8 @@ def with_transaction_id(raw: DataFrame, order_by: list[str] | None = None, *,
 
     The sorted rows are stored once below the shared checkpoint folder, and
     both the summary and the numbering read that copy: they always see the same
-    partitions, whatever the planner does. With the broadcast, the result keeps the range
-    partitioning and order on ``(step, ...)`` (:func:`ids_keep_step_layout`),
+    partitions, whatever the planner does. With the broadcast, the result keeps the stored ranges:
+    rows clustered by ``step`` (:func:`ids_keep_step_layout`),
     so step-partitioned writes of it need no further shuffle.
     """
     keys = list(order_by) if order_by else [c for c in raw.columns if c != STEP]
