@@ -103,11 +103,6 @@ def duplicate_keys(feeds: Mapping[str, DataFrame], on: Sequence[str] = (KEY, STE
             .select(F.col("_d.feed").alias("feed"), *on, F.col("_d.copies").alias("copies")))
 
 
-def default_feed_map(transactions: DataFrame, accounts: DataFrame,
-                     fraud: DataFrame) -> dict[str, DataFrame]:
-    return dict(zip(FEEDS, (transactions, accounts, fraud)))
-
-
 def corrupt_rows(silver: DataFrame) -> DataFrame:
     """Rows whose balance check failed (the quality flag used as a filter)."""
     return silver.filter(F.col("is_corrupt"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import argparse
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators.gold import GOLD_TABLES, gold_tables
+from ledgerline.session import build_session
 from ledgerline.sinks.writers import write_any, write_warehouse
 from ledgerline.sources.files import read_table
 
@@ -52,3 +54,18 @@ def run_gold(spark: SparkSession, silver_path: str, publish: Publisher,
         if cache:
             silver.unpersist()
     return done
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``gold_job SILVER OUT [TABLE ...]``: publish the gold tables (all by default) as files."""
+    args = argparse.ArgumentParser(prog="gold_job")
+    args.add_argument("silver")
+    args.add_argument("out")
+    args.add_argument("tables", nargs="*")
+    a = args.parse_args(argv)
+    print(run_gold(build_session(app_name="gold"), a.silver, to_files(a.out),
+                   tables=a.tables or None))
+
+
+if __name__ == "__main__":
+    main()

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import SparkSession
 
 from ledgerline.operators.profile import profile_csv_frame, profile_json_frame
+from ledgerline.session import build_session
 from ledgerline.sinks.writers import write_any
 from ledgerline.sources.files import read_any
 
@@ -26,3 +29,17 @@ def run_profile(spark: SparkSession, input_path: str, output_path: str,
     """
     out = profile_frame(spark, input_path, fmt, processed_at)
     write_any(out, output_path, fmt.lower(), files)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``profile_job INPUT OUTPUT [csv|json]``."""
+    args = argparse.ArgumentParser(prog="profile_job")
+    args.add_argument("input")
+    args.add_argument("output")
+    args.add_argument("fmt", nargs="?", default="csv", type=str.lower)
+    a = args.parse_args(argv)
+    run_profile(build_session(app_name="profile"), a.input, a.output, a.fmt)
+
+
+if __name__ == "__main__":
+    main()

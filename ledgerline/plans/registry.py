@@ -29,6 +29,10 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Files of a feed in one micro-batch of the bounded stream.
+STREAM_FILES = 300
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -467,6 +471,18 @@ def q_silver_stream(spark, sf_dir):
     return _read_silver(spark, sink)
 
 
+@register("silver_stream_bounded", O.SILVER + "SELECT * FROM silver")
+def q_silver_stream_bounded(spark, sf_dir):
+    """Several micro-batches, no watermark: state waits for the files still to come."""
+    bronze = _bronze(spark, sf_dir, fmt="parquet")
+    sink = scratch_path(spark, "silver_stream")
+    ckpt = scratch_path(spark, "silver_stream_ckpt")
+    stream.run_silver_stream_once(spark, bronze, sink, ckpt, fmt="parquet",
+                                  state_partitions=spark.sparkContext.defaultParallelism,
+                                  max_files_per_trigger=STREAM_FILES)
+    return _read_silver(spark, sink)
+
+
 # ------------------------------------------------- single-pass gold variant
 
 def _one_pass(spark, sf_dir, table):

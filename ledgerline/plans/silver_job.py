@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import argparse
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.quality import unmatched_keys
 from ledgerline.operators.silver import build_silver
-from ledgerline.schemas import KEY, STEP
+from ledgerline.schemas import FEEDS, KEY, STEP
+from ledgerline.session import build_session
 from ledgerline.sinks.writers import write_batch
 from ledgerline.sources.feeds import read_feeds
 
@@ -16,10 +19,13 @@ from ledgerline.sources.feeds import read_feeds
 def run_silver(spark: SparkSession, bronze_root: str, silver_path: str,
                steps: Iterable[int] | int | None = None, mode: str = "replace",
                bronze_fmt: str = "csv", silver_fmt: str = "parquet",
-               on: Sequence[str] = (KEY, STEP), jitter: str = "hash") -> dict:
+               on: Sequence[str] = (KEY, STEP), jitter: str = "hash",
+               report_unmatched: bool = False) -> dict:
     """Read the feeds of ``steps`` (all if ``None``: a backfill in one job),
     join, enrich and write. Returns ``{"rows": n, "corrupt_rows": m}``,
     measured while writing (``observe``), not by a second pass.
+    ``report_unmatched`` adds ``unmatched``: how many keys the join loses
+    because a feed lacks them, by feed (one more aggregation over the keys).
 
     The output is range-clustered on ``(step, key)`` only when the job covers
     more than one step: then each task writes a few steps instead of every
@@ -38,4 +44,27 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_path: str,
                F.count(F.when(F.col("is_corrupt"), 1)).alias("corrupt_rows"))
     write_batch(silver, silver_path, mode=mode, fmt=silver_fmt, observe=metrics,
                 cluster=steps is None or len(steps) > 1)
-    return dict(obs.get)
+    stats = dict(obs.get)
+    if report_unmatched:
+        lost = unmatched_keys(dict(zip(FEEDS, (tx, acct, fraud))), on) \
+            .groupBy("missing_feed").count().collect()
+        stats["unmatched"] = {f: 0 for f in FEEDS} | {r["missing_feed"]: r["count"] for r in lost}
+    return stats
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``silver_job BRONZE SILVER [STEP ...]``: step 1 by default, ``--all`` for a backfill."""
+    args = argparse.ArgumentParser(prog="silver_job")
+    args.add_argument("bronze")
+    args.add_argument("silver")
+    args.add_argument("steps", nargs="*", type=int, default=[1])
+    args.add_argument("--all", action="store_true")
+    args.add_argument("--fmt", default="csv")
+    args.add_argument("--mode", default="replace")
+    a = args.parse_args(argv)
+    print(run_silver(build_session(app_name="silver"), a.bronze, a.silver,
+                     None if a.all else a.steps, a.mode, a.fmt, report_unmatched=True))
+
+
+if __name__ == "__main__":
+    main()

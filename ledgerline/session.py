@@ -66,3 +66,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/ledgerline/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`scratch_path` named; any other path is refused."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/ledgerline/"
+    if not path.startswith(root) or ".." in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -1,8 +1,8 @@
 """Readers of the three source feeds and of the wide raw table.
 
 Feeds are stored one directory per feed, partitioned by ``step``
-(``<root>/<feed>/step=<n>/``); selecting steps is a partition filter, so only
-those directories are read (all of them are listed).
+(``<root>/<feed>/step=<n>/``); with given steps only those directories are
+listed and read.
 """
 
 from __future__ import annotations
@@ -25,16 +25,38 @@ def select_batch(df: DataFrame, steps: Iterable[int] | int | None) -> DataFrame:
     return df.filter(F.col(STEP).isin(list(steps)))
 
 
+def step_paths(spark: SparkSession, base: str, steps: Iterable[int]) -> list[str]:
+    """The folders of the given steps that exist below ``base``."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = []
+    for step in dict.fromkeys(steps):
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{STEP}={int(step)}")
+        if path.getFileSystem(conf).exists(path):
+            found.append(f"{base}/{STEP}={int(step)}")
+    return found
+
+
 def read_feed(spark: SparkSession, root: str, feed: str,
               steps: Iterable[int] | int | None = None, fmt: str = "csv",
               with_source_file: bool = False) -> DataFrame:
-    """One feed with its explicit schema plus ``step`` from the directory."""
+    """One feed with its explicit schema plus ``step`` from the directory.
+
+    With ``steps`` only their folders are listed, whatever the history holds;
+    a step without a folder has no rows.
+    """
     schema = with_step(FEED_SCHEMAS[feed])
+    base = f"{root.rstrip('/')}/{feed}"
+    if isinstance(steps, int):
+        steps = [steps]
+    paths = [base] if steps is None else step_paths(spark, base, steps := list(steps))
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
         # a header that does not name the columns in this order is refused
         reader = reader.option("header", True).option("enforceSchema", False)
-    df = reader.load(f"{root.rstrip('/')}/{feed}")
+    if not paths:
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn("_source_file", F.lit("")) if with_source_file else empty
+    df = reader.option("basePath", base).load(paths)
     df = select_batch(df, steps).select(*schema.fieldNames())
     if with_source_file:
         df = df.withColumn("_source_file", F.col("_metadata.file_path"))
