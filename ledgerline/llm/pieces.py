@@ -27,9 +27,10 @@ from pyspark.sql import types as T
 from .common import slices, table, text_only
 
 MARK = "▁"
-#: Distinct words whose pieces a worker remembers; beyond that it starts anew.
-CACHE_WORDS = 800_000
-CACHE_PAIRS = 300_000
+#: Distinct words whose pieces a worker remembers; beyond that it starts anew. A reused
+#: worker keeps them between stages, about 200 bytes each.
+CACHE_WORDS = 250_000
+CACHE_PAIRS = 150_000
 
 
 class Pieces:
