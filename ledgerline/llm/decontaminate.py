@@ -4,8 +4,9 @@ Texts become sequences of canonical tokens: numbers, names and units turn into
 typed placeholders, other words are lower-cased. Windows of k tokens of the
 documents are hash-joined with those of the benchmark items. Along a matched
 stretch the placeholders' values must be consistent: one value in the item
-always stands for one value in the document. So a question whose numbers or
-names were replaced is found, and a text that merely has a similar shape is not.
+always stands for one value in the copy. So a question whose numbers or names
+were replaced is found, also if it stands there with several replacements, and
+a text that merely has a similar shape is not.
 """
 
 from __future__ import annotations
@@ -188,49 +189,143 @@ class _View:
         need = np.minimum(np.ceil(coverage * self.n_windows[item[first]]), max(run - k + 1, 1))
         out = []
         for a, b in zip(first[last - first >= need], last[last - first >= need]):
-            got = self._consistent(d_at[a:b], i_at[a:b], kind, value)
-            if not got.any():
-                continue
-            d, i, m = d_at[a:b][got], i_at[a:b][got], int(item[a])
-            found = len(np.unique(i))
-            longest = self._longest(d, i, literals, run)
-            if found >= coverage * self.n_windows[m] and self._literals(i) >= literals \
-                    or longest >= run:
+            m = int(item[a])
+            leak, found, longest = self._best(d_at[a:b], i_at[a:b], kind, value, m,
+                                              coverage, run, literals)
+            if leak or longest >= run:
                 out.append((int(row[a]), m, int(self.n_windows[m]), found, longest))
         return out
 
-    def _consistent(self, d, i, kind, value) -> np.ndarray:
-        """Which windows have no slot whose item value stands for several document values."""
+    def _best(self, d, i, kind, value, m: int, coverage, run, floor) -> tuple[bool, int, int]:
+        """Do the windows make a leak, how many are there, tokens of the longest stretch.
+
+        The windows are in order of their diagonal d - i, so each diagonal is
+        one place of the item in the document. Slots must be consistent over
+        the whole document, over one diagonal, or over the diagonals beside
+        one (a copy with words put in or left out).
+        """
+        least = coverage * self.n_windows[m]
         span = np.arange(self.k)
         di, ii = d[:, None] + span, i[:, None] + span
         slot = (self.kind[ii] == NUM) | (self.kind[ii] == NAME)
-        if not slot.any():
-            return np.ones(len(d), bool)
         iv, dv = self.value[ii], value[di]
-        pairs, seen = np.unique(np.stack([iv[slot], dv[slot]], 1), axis=0, return_counts=True)
-        best: dict[int, tuple[int, int]] = {}
-        for (x, y), c in zip(pairs.tolist(), seen.tolist()):
-            if c > best.get(x, (0, 0))[0]:
-                best[x] = (c, y)  # of several values the most frequent one, ties the smallest
-        want = np.array([best[x][1] for x in iv[slot].tolist()], np.uint64)
+        lane = np.cumsum(np.concatenate([[0], np.diff(d - i) != 0]))
+        got = self._voted(np.zeros(len(d), np.int64), iv, dv, slot)
+        found = len(np.unique(i[got]))
+        leak = self._enough(i[got], least, floor) > 0
+        longest = self._longest(d, i, value, not got.all(), run, floor)
+        if not got.all() and len(np.unique(i)) >= least:
+            got = self._voted(lane, iv, dv, slot)
+            size = np.bincount(lane[got], minlength=lane[-1] + 1)
+            ends = np.searchsorted(lane, np.arange(lane[-1] + 2))
+            for n in np.flatnonzero(size >= least):
+                if size[n] <= found and leak:
+                    continue
+                part = slice(ends[n], ends[n + 1])
+                if self._enough(i[part][got[part]], least, floor):
+                    leak, found = True, max(found, int(size[n]))
+            if not leak:
+                beside = self._beside(d, i, lane, got, iv, dv, slot, m, least, floor)
+                leak, found = beside > 0, max(found, beside)
+        return leak, found, longest
+
+    def _voted(self, group, iv, dv, slot) -> np.ndarray:
+        """Which windows have no slot whose item value stands for several document values.
+
+        Of several values in a group the most frequent one counts, ties the smallest.
+        """
+        if not slot.any():
+            return np.ones(len(slot), bool)
+        g, x, y = np.repeat(group, slot.sum(1)), iv[slot], dv[slot]
+        order = np.lexsort((y, x, g))
+        g, x, y = g[order], x[order], y[order]
+        new_x = np.concatenate([[True], (g[1:] != g[:-1]) | (x[1:] != x[:-1])])
+        new_y = new_x | np.concatenate([[True], y[1:] != y[:-1]])
+        at = np.flatnonzero(new_y)
+        seen = np.diff(np.append(at, len(y)))
+        of = np.cumsum(new_x[at]) - 1  # the (group, item value) of each run of equal ones
+        most = np.flatnonzero(seen == np.maximum.reduceat(seen, np.flatnonzero(new_x[at]))[of])
+        chosen = np.zeros(len(at), bool)
+        chosen[most[np.unique(of[most], return_index=True)[1]]] = True
+        right = np.empty(len(y), bool)
+        right[order] = chosen[np.cumsum(new_y) - 1]
         wrong = np.zeros(slot.shape, bool)
-        wrong[slot] = dv[slot] != want
+        wrong[slot] = ~right
         return ~wrong.any(1)
 
+    def _beside(self, d, i, lane, got, iv, dv, slot, m: int, least, floor) -> int:
+        """The same over several diagonals: each one's values hold for its surroundings.
+
+        Windows within an item's length of a diagonal's own join it, nearest
+        diagonals first, if their slots fit the values so far.
+        """
+        size = int(self.tok[m + 1] - self.tok[m])
+        by_d = np.argsort(d, kind="stable")
+        sorted_d, diagonal = d[by_d], d - i
+        first = np.flatnonzero(np.concatenate([[True], np.diff(lane) != 0]))
+        last = np.append(first[1:], len(d))
+        for a, b in zip(first.tolist(), last.tolist()):
+            near = by_d[np.searchsorted(sorted_d, d[a] - size):
+                        np.searchsorted(sorted_d, d[b - 1] + size, side="right")]
+            if len(np.unique(i[near])) < least or not got[a:b].any():
+                continue
+            held: dict[int, int] = {}
+            taken = []
+            near = near[got[near] | (lane[near] != lane[a])]
+            for w in near[np.lexsort((d[near], np.abs(diagonal[near] - diagonal[a])))].tolist():
+                pairs = list(zip(iv[w][slot[w]].tolist(), dv[w][slot[w]].tolist()))
+                mine = dict(pairs)
+                if all(mine[x] == y and held.get(x, y) == y for x, y in pairs):
+                    held.update(mine)
+                    taken.append(w)
+            found = self._enough(i[taken], least, floor)
+            if found:
+                return found
+        return 0
+
+    def _enough(self, i, least, floor) -> int:
+        """How many different windows, 0 if too few or with too few literals."""
+        n = len(np.unique(i))
+        return n if n >= least and self._literals(i) >= floor else 0
+
     def _literals(self, i) -> int:
         return int((self.kind[np.unique(i[:, None] + np.arange(self.k))] == 0).sum())
 
-    def _longest(self, d, i, literals, run) -> int:
-        """Tokens in the longest stretch of consecutive windows that has enough literals."""
-        best, a = 0, 0
-        for b in range(1, len(d) + 1):
-            if b == len(d) or d[b] != d[b - 1] + 1 or i[b] != i[b - 1] + 1:
-                tokens = b - a + self.k - 1
-                if tokens > best and (tokens < run or self._literals(i[a:b]) >= literals):
-                    best = tokens
-                a = b
+    def _longest(self, d, i, value, check: bool, run, floor) -> int:
+        """Tokens in the longest stretch of consecutive windows that has enough literals.
+
+        With ``check`` only stretches with consistent slots count.
+        """
+        ends = np.flatnonzero(np.concatenate([(np.diff(d) != 1) | (np.diff(i) != 1), [True]]))
+        best = 0
+        for a, b in zip(np.append(0, ends[:-1] + 1).tolist(), ends.tolist()):
+            lo, hi, shift = int(i[a]), int(i[b]) + self.k, int(d[a] - i[a])
+            if hi - lo <= best:
+                continue
+            kinds = self.kind[lo:hi]
+            cuts = [(lo, hi)]
+            if check:
+                at = lo + np.flatnonzero((kinds == NUM) | (kinds == NAME))
+                cuts = self._consistent(at, self.value[at], value[at + shift], lo, hi)
+            for x, y in cuts:
+                if y - x > best and y - x >= self.k and (
+                        y - x < run or (kinds[x - lo:y - lo] == 0).sum() >= floor):
+                    best = y - x
         return best
 
+    @staticmethod
+    def _consistent(at, iv, dv, lo: int, hi: int) -> list[tuple[int, int]]:
+        """The longest parts of lo..hi in which no item value has several document values."""
+        parts, start = [], lo
+        last: dict[int, tuple[int, int]] = {}  # item value: its last place and value there
+        for p, x, y in zip(at.tolist(), iv.tolist(), dv.tolist()):
+            before = last.get(x)
+            if before and before[1] != y and before[0] >= start:
+                parts.append((start, p))
+                start = before[0] + 1
+            last[x] = p, y
+        return [*parts, (start, hi)]
+
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, k: int):
     """The benchmark in blocks of a bounded size, one after the other."""
@@ -253,8 +348,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     A document leaks an item when it has ``coverage`` of the item's distinct
     windows of ``k`` canonical tokens, or ``run`` consecutive tokens of it, with
-    at least ``literals`` literal words and consistent slots. A null or empty
-    text leaks nothing; items without id or text, or shorter than ``k`` tokens,
+    at least ``literals`` literal words and consistent slots. The slots of a run
+    are consistent in themselves, those of the windows in one copy or over the
+    whole document. A null or empty text leaks nothing; items without id or text, or shorter than ``k`` tokens,
     are never found; repeated items give a row each, repeated documents too.
     Empty tables give no rows. Other columns are ignored.
 
