@@ -6,11 +6,14 @@ documents are hash-joined with those of the benchmark items. Along a matched
 stretch the placeholders' values must be consistent: one value in the item
 always stands for one value in the copy. So a question whose numbers or names
 were replaced is found, also if it stands there with several replacements, and
-a text that merely has a similar shape is not.
+a text that merely has a similar shape is not. Items with few literal words are
+found with their own values only, and every item as a sequence of whole words.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,7 +24,7 @@ from .common import mix, slices, table, text_bytes, text_only, token_bounds, wor
 WINDOW = 5
 COVERAGE = 0.8  # share of an item's windows that make a leak
 RUN = 13        # or so many consecutive tokens
-LITERALS = 8    # of which at least so many are no placeholders
+LITERALS = 8    # of which so many are no placeholders, or all that the item has
 #: Bytes of benchmark text that one pass over the documents looks for.
 BLOCK_BYTES = 4 << 20
 
@@ -63,19 +66,25 @@ def _in(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_values[at] == x
 
 
-def canonical(data: np.ndarray, off: np.ndarray, names: bool = True):
-    """Canonical token hashes, classes, raw value hashes, and each row's range of tokens.
+class Words(NamedTuple):
+    """The lower-cased bytes, each word's start, end and hash, and each row's range of words."""
 
-    Words are runs of ASCII letters, digits and non-ASCII bytes; a point or
-    comma between digits belongs to the number. A name is a capitalised word
-    (its second character not a capital) that does not begin a sentence; with
-    ``names`` false there are none, so that case does not matter. Neighbouring
-    placeholders of one class are one token.
+    low: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    hash: np.ndarray
+    tok: np.ndarray
+
+
+def split_words(data: np.ndarray, off: np.ndarray) -> Words:
+    """Words are runs of ASCII letters, digits and non-ASCII bytes.
+
+    A point or comma between digits belongs to the number.
     """
     n = len(data)
     if not n:
-        z = np.empty(0, np.uint64)
-        return z, np.empty(0, np.int8), z, np.zeros(len(off), np.int64)
+        z = np.empty(0, np.int64)
+        return Words(data, z, z, np.empty(0, np.uint64), np.zeros(len(off), np.int64))
     digit = _DIGIT[data]
     word_byte = _WORD[data]
     point = np.flatnonzero((data == 46) | (data == 44))
@@ -90,12 +99,24 @@ def canonical(data: np.ndarray, off: np.ndarray, names: bool = True):
     high = np.flatnonzero((data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
                           & (data[:-1] == 0xC3)) + 1
     low[high] += 32  # Latin-1 capitals in UTF-8
-    h = word_hashes(low, starts, ends)
+    return Words(low, starts, ends, word_hashes(low, starts, ends), tok)
+
+
+def canonical(data: np.ndarray, words: Words, names: bool = True):
+    """Canonical token hashes, classes, raw value hashes, and each row's range of tokens.
+
+    A name is a capitalised word
+    (its second character not a capital) that does not begin a sentence; with
+    ``names`` false there are none, so that case does not matter. Neighbouring
+    placeholders of one class are one token.
+    """
+    n = len(data)
+    low, starts, ends, h, tok = words
     if not len(starts):
         return h, np.empty(0, np.int8), h, tok
     kind = np.zeros(len(starts), np.int8)
     kind[_in(_UNITS, h)] = UNIT
-    kind[digit[starts] | _in(_NUMBERS, h)] = NUM
+    kind[_DIGIT[data[starts]] | _in(_NUMBERS, h)] = NUM
     if names:
         first = low[starts] != data[starts]
         accent = (data[starts] == 0xC3) & (low[np.minimum(starts + 1, n - 1)]
@@ -140,35 +161,98 @@ class Items:
     def __init__(self, ids: list[int], texts: list[str], k: int):
         self.ids = np.array(ids, np.int64)
         data, off = text_bytes(pa.array(texts, pa.string()))
-        self.views = [_View(data, off, k, names) for names in (True, False)]
+        words = split_words(data, off)
+        self.views = [_View(data, words, k, names) for names in (True, False)]
+        self.verbatim = _Verbatim(words, k)
 
     def hits(self, data, off, coverage, run, literals):
         """(row, item, item's windows, matched ones, longest run of tokens) of each leak."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        words = split_words(data, off)
         for view in self.views:
-            for row, item, *found in view.hits(data, off, coverage, run, literals):
+            for row, item, *found in view.hits(data, words, coverage, run, literals):
                 best[row, item] = max(best.get((row, item), (0, 0, 0)), tuple(found),
                                       key=lambda x: x[1])
+        plain = self.views[-1]
+        for row, item in self.verbatim.hits(words):
+            n = int(plain.n_windows[item])
+            whole = n, n, int(plain.tok[item + 1] - plain.tok[item])
+            best[row, item] = max(best.get((row, item), whole), whole, key=lambda x: x[1])
         return [(*k, *v) for k, v in sorted(best.items())]
 
 
+class _Verbatim:
+    """Every item as a sequence of words, looked for by its first k or fewer words."""
+
+    def __init__(self, words: Words, k: int):
+        self.word, self.tok = words.hash, words.tok
+        self.size = np.diff(words.tok)
+        self.sum = self._sums(words.hash)
+        self.heads = []
+        for n in range(1, k + 1):
+            item = np.flatnonzero(self.size == n if n < k else self.size >= k)
+            if len(item):
+                starts, h = windows(self.word, self.tok, n)
+                h = h[np.searchsorted(starts, self.tok[item])]
+                order = np.argsort(h, kind="stable")
+                maybe = np.zeros(1 << 16, bool)
+                maybe[(h & np.uint64(0xFFFF)).astype(np.int64)] = True
+                self.heads.append((n, h[order], item[order], maybe))
+
+    @staticmethod
+    def _sums(h):
+        """Sums of the first words' hashes, and the powers that each is multiplied by."""
+        power = np.cumprod(np.full(len(h) + 1, np.uint64(0xD6E8FEB86659FD93)), dtype=np.uint64)
+        return np.concatenate([[np.uint64(0)], np.cumsum(h * power[:-1], dtype=np.uint64)]), power
+
+    def hits(self, words: Words) -> list[tuple[int, int]]:
+        """(row, item) of the rows that hold all of an item's words, one after the other."""
+        h, tok = words.hash, words.tok
+        out, sums = set(), None
+        for n, head, items, maybe in self.heads:
+            at, found = windows(h, tok, n)
+            pick = np.flatnonzero(maybe[(found & np.uint64(0xFFFF)).astype(np.int64)])
+            at, found = at[pick], found[pick]
+            lo, hi = np.searchsorted(head, found), np.searchsorted(head, found, side="right")
+            some = hi > lo
+            at, lo, count = at[some], lo[some], (hi - lo)[some]
+            if not len(at):
+                continue
+            which = np.repeat(np.arange(len(at)), count)
+            item = items[np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+                         + np.repeat(lo, count)]
+            d = at[which]
+            row = np.searchsorted(tok, d, side="right") - 1
+            size = self.size[item]
+            fits = np.flatnonzero(d + size <= tok[row + 1])
+            d, row, item, size = d[fits], row[fits], item[fits], size[fits]
+            (total, power), (own, own_power) = sums or self._sums(h), self.sum
+            sums = total, power
+            i = self.tok[item]
+            same = (total[d + size] - total[d]) * own_power[i] == (own[i + size] - own[i]) * power[d]
+            out.update(zip(row[same].tolist(), item[same].tolist()))
+        return sorted(out)
+
+
 class _View:
     """The template windows of the items, sorted by hash."""
 
-    def __init__(self, data, off, k: int, names: bool):
+    def __init__(self, data, words: Words, k: int, names: bool):
         self.k, self.names = k, names
-        self.token, self.kind, self.value, self.tok = canonical(data, off, names)
+        self.token, self.kind, self.value, self.tok = canonical(data, words, names)
+        literal = np.concatenate([[0], np.cumsum(self.kind == 0)])
+        self.own_literals = np.diff(literal[self.tok])
         starts, h = windows(self.token, self.tok, k)
         order = np.argsort(h, kind="stable")
         self.hash, self.start = h[order], starts[order]
         self.item = np.searchsorted(self.tok, self.start, side="right") - 1
-        self.n_windows = np.bincount(self.item, minlength=len(off) - 1)
+        self.n_windows = np.bincount(self.item, minlength=len(self.tok) - 1)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.hash & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
-    def hits(self, data, off, coverage, run, literals):
+    def hits(self, data, words: Words, coverage, run, literals):
         k = self.k
-        token, kind, value, tok = canonical(data, off, self.names)
+        token, kind, value, tok = canonical(data, words, self.names)
         at, h = windows(token, tok, k)
         pick = np.flatnonzero(self.maybe[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
         at, h = at[pick], h[pick]
@@ -190,9 +274,10 @@ class _View:
         out = []
         for a, b in zip(first[last - first >= need], last[last - first >= need]):
             m = int(item[a])
-            leak, found, longest = self._best(d_at[a:b], i_at[a:b], kind, value, m,
-                                              coverage, run, literals)
-            if leak or longest >= run:
+            best = self._best if self.own_literals[m] >= literals else self._equal
+            leak, found, longest = best(d_at[a:b], i_at[a:b], kind, value, m,
+                                        coverage, run, literals)
+            if leak:
                 out.append((int(row[a]), m, int(self.n_windows[m]), found, longest))
         return out
 
@@ -227,7 +312,20 @@ class _View:
             if not leak:
                 beside = self._beside(d, i, lane, got, iv, dv, slot, m, least, floor)
                 leak, found = beside > 0, max(found, beside)
-        return leak, found, longest
+        return leak or longest >= run, found, longest
+
+    def _equal(self, d, i, kind, value, m: int, coverage, run, literals) -> tuple[bool, int, int]:
+        """The same for an item with few literals: all its tokens, with equal values."""
+        span = np.arange(self.k)
+        di, ii = d[:, None] + span, i[:, None] + span
+        got = ~((self.kind[ii] > 0) & (self.value[ii] != value[di])).any(1)
+        if not got.any():
+            return False, 0, 0
+        d, i = d[got], i[got]
+        found = len(np.unique(i))
+        whole = len(np.unique(i[:, None] + span)) == self.tok[m + 1] - self.tok[m]
+        return (bool(whole and found >= coverage * self.n_windows[m]), found,
+                self._longest(d, i, value, False, run, 0))
 
     def _voted(self, group, iv, dv, slot) -> np.ndarray:
         """Which windows have no slot whose item value stands for several document values.
@@ -350,8 +448,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     windows of ``k`` canonical tokens, or ``run`` consecutive tokens of it, with
     at least ``literals`` literal words and consistent slots. The slots of a run
     are consistent in themselves, those of the windows in one copy or over the
-    whole document. A null or empty text leaks nothing; items without id or text, or shorter than ``k`` tokens,
-    are never found; repeated items give a row each, repeated documents too.
+    whole document. Of an item with fewer literals all tokens must be there, the
+    placeholders with the item's values. Besides, a document leaks every
+    item whose words it holds one after the other, however short: an item of
+    one word is found wherever that word stands. ``n_windows`` is 0 for items
+    shorter than ``k`` tokens. A null or empty text leaks nothing; items
+    without id, text or words are never found; repeated items give a row each, repeated documents too.
     Empty tables give no rows. Other columns are ignored.
 
     The benchmark is looked for in blocks of at most ``BLOCK_BYTES`` or so of
