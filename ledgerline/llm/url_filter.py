@@ -2,9 +2,9 @@
 
 Built from DataFrame operations only. Per host the path segments form a tree.
 Segments of a variable shape (numbers, hashes, dates, slugs with a number)
-become typed wildcards. Level by level, branches of one parent whose children
-are distributed like those of all branches, and whose labelled purity does not
-differ, are merged into a wildcard too. A template is rejected when its
+become typed wildcards. Level by level, as deep as the paths are, branches of one
+parent whose children are distributed like those of all branches, and whose
+labelled purity does not differ, are merged into a wildcard too. A template is rejected when its
 smoothed share of blocked labels reaches a bound; smoothing leans on the same
 template over all hosts, and that on the share over all urls.
 """
@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, cut, table
 
-#: Levels of the tree; deeper segments count as one last level.
-DEPTH = 3
 #: Branches of a parent from which on they may be merged, and how alike they must be.
 MIN_BRANCHES = 3
 COSINE = 0.9
@@ -68,29 +66,54 @@ def _shape(segment: Column) -> Column:
     return out
 
 
-def path_levels(path: Column, depth: int) -> list[Column]:
-    """The path's segments by level, shaped; '' past its end. Deeper ones end in ``/**``."""
+def shaped_path(path: Column) -> Column:
+    """The path's segments, shaped, with ``/`` between them."""
     parts = F.filter(F.split(path, "/", -1), lambda s: s != "")
-    at = [F.coalesce(F.get(parts, F.lit(i)), F.lit("")) for i in range(depth)]
-    out = [_shape(s) for s in at]
-    out[-1] = F.when(F.size(parts) > depth, F.concat(out[-1], F.lit("/**"))).otherwise(out[-1])
-    return out
+    return F.array_join(F.transform(parts, _shape), "/")
+
+
+def _append(prefix: Column, segments: Column) -> Column:
+    """A template with more segments behind it."""
+    return F.when(F.size(segments) > 0, F.concat(prefix, F.lit("/"), F.array_join(segments, "/"))) \
+        .otherwise(prefix)
 
 
-def _merge_level(tree: DataFrame, level: int, depth: int) -> DataFrame:
-    """Replace segment s{level} by ``*`` where its branch is like its siblings."""
-    seg, parent = f"s{level}", ["host", "prefix"]
-    if level < depth - 1:
-        child = f"s{level + 1}"
-        c = tree.groupBy(*parent, seg, child).agg(F.sum("n").cast("double").alias("c"))
-        p = c.groupBy(*parent, child).agg(F.sum("c").alias("p"))
-        pp = p.groupBy(*parent).agg(F.sum(F.col("p") * F.col("p")).alias("pp"))
-        like = c.join(p, [*parent, child]).groupBy(*parent, seg).agg(
-            F.sum(F.col("c") * F.col("p")).alias("cp"),
-            F.sum(F.col("c") * F.col("c")).alias("cc")).join(pp, parent).select(
-            *parent, seg, (F.col("cp") / F.sqrt(F.col("cc") * F.col("pp"))).alias("cosine"))
-    else:
-        like = tree.groupBy(*parent, seg).agg(F.lit(1.0).alias("cosine"))
+def _open_groups(tree: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose template is settled, and those of parents that may yet have branches to merge.
+
+    A parent of fewer than MIN_BRANCHES rows, or of equal ones, has none at any
+    level. Of the others the segments that all rows share are passed at once.
+    """
+    parent = ["host", "prefix"]
+    group = tree.groupBy(*parent).agg(F.count(F.lit(1)).alias("rows"), F.min("rest").alias("lo"),
+                                      F.max("rest").alias("hi"))
+    differ = F.array_position(F.zip_with("lo", "hi", lambda a, b: F.coalesce(a == b, F.lit(False))),
+                              F.lit(False))
+    group = group.select(*parent, ((F.col("rows") >= MIN_BRANCHES) & (differ > 0)).alias("open"),
+                         (differ - 1).cast("int").alias("shared"))
+    rows = tree.join(group, parent)
+    settled = rows.where(~F.col("open")).select(
+        "host", "shaped", "labelled", "blocked", _append(F.col("prefix"), F.col("rest")).alias("template"))
+    size = F.size("rest")
+    going = rows.where("open").select(
+        "host", "shaped", "n", "labelled", "blocked",
+        _append(F.col("prefix"), F.slice("rest", F.lit(1), F.col("shared"))).alias("prefix"),
+        F.slice("rest", F.col("shared") + 1, size - F.col("shared")).alias("rest"))
+    return settled, going
+
+
+def _merge_level(tree: DataFrame) -> DataFrame:
+    """Pass the first segment of ``rest``, as ``*`` where its branch is like its siblings."""
+    seg, child, parent = "seg", "child", ["host", "prefix"]
+    tree = tree.withColumn(seg, F.coalesce(F.get("rest", F.lit(0)), F.lit(""))) \
+        .withColumn(child, F.coalesce(F.get("rest", F.lit(1)), F.lit("")))
+    c = tree.groupBy(*parent, seg, child).agg(F.sum("n").cast("double").alias("c"))
+    p = c.groupBy(*parent, child).agg(F.sum("c").alias("p"))
+    pp = p.groupBy(*parent).agg(F.sum(F.col("p") * F.col("p")).alias("pp"))
+    like = c.join(p, [*parent, child]).groupBy(*parent, seg).agg(
+        F.sum(F.col("c") * F.col("p")).alias("cp"),
+        F.sum(F.col("c") * F.col("c")).alias("cc")).join(pp, parent).select(
+        *parent, seg, (F.col("cp") / F.sqrt(F.col("cc") * F.col("pp"))).alias("cosine"))
     branch = tree.groupBy(*parent, seg).agg(
         F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
     pooled = branch.groupBy(*parent).agg(
@@ -102,26 +125,34 @@ def _merge_level(tree: DataFrame, level: int, depth: int) -> DataFrame:
         (F.col("branches") >= MIN_BRANCHES) & (F.col("cosine") >= COSINE) & (F.col(seg) != "")
         & ~F.when((F.col("l") > 0) & (F.col("pl") > 0), apart).otherwise(F.lit(False))
         & ~F.col(seg).startswith("<")).select(*parent, seg, F.lit("*").alias("wild"))
-    out = tree.join(merged, [*parent, seg], "left").withColumn(
-        "prefix", F.concat("prefix", F.when(F.col(seg) == "", F.lit("")).otherwise(
-            F.concat(F.lit("/"), F.coalesce("wild", F.col(seg))))))
-    return cut(out.drop("wild"), f"url-level-{level}")
+    return tree.join(merged, [*parent, seg], "left").select(
+        "host", "shaped", "n", "labelled", "blocked",
+        F.concat("prefix", F.when(F.col(seg) == "", F.lit("")).otherwise(
+            F.concat(F.lit("/"), F.coalesce("wild", F.col(seg))))).alias("prefix"),
+        F.slice("rest", F.lit(2), F.greatest(F.size("rest") - 1, F.lit(0))).alias("rest"))
 
 
-def template_tree(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """host, s0.., template, reject_share from ``urls`` (host, s0.., label: 1 block, 0 allow, null).
+def template_tree(urls: DataFrame) -> DataFrame:
+    """host, shaped, template, reject_share from ``urls`` (host, shaped, label: 1 block, 0 allow, null).
 
     Everything runs on the distinct (host, shaped path) rows, which the first
-    aggregation combines before its shuffle.
+    aggregation combines before its shuffle. There are as many rounds as there
+    are levels on which some parent still has several different rows.
     """
-    levels = [f"s{i}" for i in range(depth)]
-    tree = cut(urls.groupBy("host", *levels).agg(
+    tree = cut(urls.groupBy("host", "shaped").agg(
         F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"),
         F.coalesce(F.sum("label"), F.lit(0)).alias("blocked"))
-        .withColumn("prefix", F.lit("")), "url-leaves")
-    for level in range(depth):
-        tree = _merge_level(tree, level, depth)
-    leaves = tree.withColumnRenamed("prefix", "template")
+        .withColumn("prefix", F.lit("")).withColumn(
+            "rest", F.filter(F.split("shaped", "/", -1), lambda s: s != "")), "url-leaves")
+    parts = []
+    while not tree.isEmpty():
+        settled, going = _open_groups(tree)
+        parts.append(settled)
+        tree = cut(_merge_level(going), f"url-level-{len(parts)}")
+    leaves = parts[0] if parts else tree.withColumnRenamed("prefix", "template").drop("n", "rest")
+    for part in parts[1:]:
+        leaves = leaves.unionByName(part)
+    leaves = cut(leaves, "url-templates")
     own = leaves.groupBy("host", "template").agg(
         F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
     everywhere = own.groupBy("template").agg(F.sum("l").alias("tl"), F.sum("b").alias("tb"))
@@ -131,11 +162,11 @@ def template_tree(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
              / (F.col("l") + PRIOR))
     scored = own.join(everywhere, "template").select(
         "host", "template", share.alias("reject_share"))
-    return leaves.select("host", *levels, "template").join(scored, ["host", "template"])
+    return leaves.select("host", "shaped", "template").join(scored, ["host", "template"])
 
 
-def url_filter(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url",
-               depth: int = DEPTH) -> DataFrame:
+def url_filter(pages: DataFrame, rules=RULES, id_col: str = "page_id",
+               url_col: str = "url") -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, template, reject_share.
 
     ``rules`` are (verdict, host, path): a rule fits its host and all
@@ -149,12 +180,11 @@ def url_filter(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     host, path = split_url(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
-    levels = [f"s{i}" for i in range(depth)]
     rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("ruled"),
-                       *[c.alias(n) for c, n in zip(path_levels(F.col("path"), depth), levels)])
+                       shaped_path(F.col("path")).alias("shaped"))
     label = F.when(F.col("ruled") == "block", 1).when(F.col("ruled") == "allow", 0)
-    tree = template_tree(rows.select("host", *levels, label.alias("label")), depth)
-    judged = rows.join(tree, ["host", *levels])
+    tree = template_tree(rows.select("host", "shaped", label.alias("label")))
+    judged = rows.join(tree, ["host", "shaped"])
     return judged.select(
         "page_id", "host", "path", "rule",
         F.coalesce("ruled", F.when(F.col("reject_share") >= REJECT, "block").otherwise("allow"))
