@@ -419,7 +419,7 @@ def repaired(rows: DataFrame, audit: DataFrame) -> DataFrame:
     task reads it row by row; it holds the audit and a row.
     """
     gaps = (F.col("last_turn").cast("decimal(38,0)") - F.col("first_turn") + 1 - F.col("turns"))
-    gaps = F.coalesce(F.least(gaps, F.lit(LONG).cast("decimal(38,0)")).cast("bigint"), F.lit(0))
+    gaps = F.when(gaps.isNull(), 0).otherwise(F.least(gaps, F.lit(LONG)).cast("bigint"))
     numbers = F.array(gaps, "blank", "duplicate", "truncated", "illegal", "cost")
     heads = audit.select("conv", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("turn"),
                          F.lit(None).cast("string").alias("role"), F.lit(None).cast("binary").alias("digest"),

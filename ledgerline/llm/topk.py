@@ -48,6 +48,7 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     rows = vectors.select(F.col(f"`{id_col}`").cast("bigint").alias("vec_id"), x.alias("x"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & ~bad)
+
     def whole(c):  # beyond 2^53 every double is an integer
         return F.when(F.abs(c * SCALE) < EXACT, F.floor(c * SCALE).cast("double")).otherwise(c * SCALE)
     return rows.select("vec_id", F.transform("x", whole).alias("v"))
@@ -186,7 +187,7 @@ def _pass(tab: DataFrame, ids: np.ndarray, q: np.ndarray, pivots: np.ndarray, mo
                 part = batch.slice(at, CHUNK)
                 v = np.frombuffer(b"".join(part.column("v").to_pylist())).reshape(-1, dims)
                 far = np.frombuffer(b"".join(part.column("far").to_pylist()), np.float32)
-                search.see(part.column("vec_id").to_numpy(), v, far.reshape(-1, len(pivots)))
+                search.see(part.column("vec_id").to_numpy(), v, far.reshape(part.num_rows, len(pivots)))
         yield search.found()
 
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
