@@ -502,3 +502,7 @@ def q_victim_one_pass(spark, sf_dir):
 @register("system_audit_one_pass", ORACLES["system_audit"])
 def q_audit_one_pass(spark, sf_dir):
     return _one_pass(spark, sf_dir, "SYSTEM_AUDIT")
+
+
+# further queries register themselves on import
+from ledgerline.plans import registry_delivery  # noqa: E402, F401

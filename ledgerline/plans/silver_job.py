@@ -12,6 +12,7 @@ from ledgerline.operators.quality import unmatched_keys
 from ledgerline.operators.silver import build_silver
 from ledgerline.schemas import FEEDS, KEY, STEP
 from ledgerline.session import build_session
+from ledgerline.sinks.steps import replace_steps
 from ledgerline.sinks.writers import write_batch
 from ledgerline.sources.feeds import read_feeds
 
@@ -42,8 +43,11 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_path: str,
     obs = Observation("silver_batch")
     metrics = (obs, F.count(F.lit(1)).alias("rows"),
                F.count(F.when(F.col("is_corrupt"), 1)).alias("corrupt_rows"))
-    write_batch(silver, silver_path, mode=mode, fmt=silver_fmt, observe=metrics,
-                cluster=steps is None or len(steps) > 1)
+    layout = {"fmt": silver_fmt, "observe": metrics, "cluster": steps is None or len(steps) > 1}
+    if mode == "replace" and steps is not None:  # one commit; a named step without rows goes
+        replace_steps(silver, silver_path, steps, **layout)
+    else:
+        write_batch(silver, silver_path, mode=mode, **layout)
     stats = dict(obs.get)
     if report_unmatched:
         lost = unmatched_keys(dict(zip(FEEDS, (tx, acct, fraud))), on) \

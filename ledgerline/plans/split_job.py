@@ -17,13 +17,16 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.operators.quality import reconcile
 from ledgerline.operators.split import (
-    batch_stats, ids_keep_step_layout, split_feeds, with_transaction_id)
-from ledgerline.schemas import FEEDS, KEY, STEP
+    ID_PREFIX, batch_stats, ids_keep_step_layout, split_feeds, with_transaction_id)
+from ledgerline.schemas import FEEDS, KEY, RAW_SCHEMA, STEP
 from ledgerline.session import build_session, drop_scratch, scratch_path
 from ledgerline.sinks.writers import clustered, write_feeds
+from ledgerline.sources import delivered
 from ledgerline.sources.feeds import read_feeds, read_raw
 
 
@@ -68,6 +71,25 @@ def run_split(spark: SparkSession, raw: DataFrame, out_root: str, fmt: str = "cs
     return reconcile(rows_in, dict(zip(FEEDS, written)))
 
 
+def with_input_index(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA,
+                     id_col: str = KEY) -> DataFrame:
+    """The rows of headed CSV files with ``transaction_id = TXN-{step}-{n}``, ``n`` the row's place in the input.
+
+    ``n`` counts the rows of all files, in order of file name and line, from 0
+    (``line_index``): the numbering of a single pass over the input. Rows are
+    typed by header name; what does not fit stays listed in ``_failed`` and
+    ``_whole_line``. The typed rows are stored once below the shared checkpoint
+    folder, the copy must outlive the result.
+    """
+    rows = delivered.rescue(delivered.read_lines(spark, path, recursive=True), schema)
+    stored = scratch_path(spark, "input-index")
+    rows.write.parquet(stored)
+    numbered = delivered.with_line_index(spark.read.schema(rows.schema).parquet(stored))
+    txn = F.concat_ws("-", F.lit(ID_PREFIX), F.col(STEP).cast("string"),
+                      F.col("line_index").cast("string"))
+    return numbered.withColumn(id_col, txn)
+
+
 def main(argv: list[str] | None = None) -> None:
     """``split_job RAW OUT``: split a raw table into its feeds; fails on a row loss."""
     args = argparse.ArgumentParser(prog="split_job")
