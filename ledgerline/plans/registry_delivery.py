@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators import split
 from ledgerline.plans import silver_job, split_job
 from ledgerline.plans.registry import _bronze, register
 from ledgerline.schemas import FEED_SCHEMAS, FEEDS, RAW_SCHEMA, SILVER_COLUMNS, STEP
@@ -12,6 +13,7 @@ from ledgerline.session import scratch_path
 from ledgerline.sinks import bronze, writers
 from ledgerline.sinks import steps as step_sink
 from ledgerline.sources import delivered
+from ledgerline.streaming import ledger_stream
 from ledgerline.testdata import mapping
 from ledgerline.testdata import oracle as O
 
@@ -124,3 +126,57 @@ def q_global_row_index(spark, sf_dir):
             .write.option("header", True).csv(f"{root}/{name}")
     indexed = split_job.with_input_index(spark, root, RAW_WITH_EVENT)
     return indexed.select("transaction_id", "line_index", "event_id", "step", "type", "amount")
+
+
+# ------------------------------------------- streaming with every row accounted for
+
+#: Deliveries end at these steps; a label of every 103rd event comes one delivery late.
+DELIVERY_ENDS, LATENESS = (240, 480), 48
+
+_ACCOUNTS = O.BASE + f""", h AS (
+  SELECT max(step) FILTER (step <= {DELIVERY_ENDS[0]}) - {LATENESS} AS h1,
+         max(step) FILTER (step <= {DELIVERY_ENDS[1]}) - {LATENESS} AS h2,
+         max(step) - {LATENESS} AS h3 FROM rawid
+), told AS (
+  SELECT transaction_id, step, event_id % 101 = 0 AS lost,
+    CASE WHEN event_id % 101 <> 0 AND (event_id % 103 <> 0 OR step >= CASE
+           WHEN step <= {DELIVERY_ENDS[0]} THEN h1 WHEN step <= {DELIVERY_ENDS[1]} THEN h2 ELSE h3 END)
+         THEN 'matched' WHEN step >= h3 THEN 'pending' ELSE 'late' END AS state
+  FROM rawid, h
+)
+"""
+
+
+def _deliveries(spark, sf_dir) -> ledger_stream.LedgerSink:
+    """Four deliveries, each taken in by a run of its own; silver is compacted on the way."""
+    raw = mapping.raw_with_ids(spark, sf_dir)
+    eid, step = F.col("event_id"), F.col(STEP)
+    own = F.when(step <= DELIVERY_ENDS[0], 0).when(step <= DELIVERY_ENDS[1], 1).otherwise(2)
+    root, ckpt = scratch_path(spark, "deliveries"), scratch_path(spark, "deliveries_ckpt")
+    sink = ledger_stream.LedgerSink(spark, scratch_path(spark, "ledger"), LATENESS, compact_every=3)
+    for k in range(4):
+        tx = split.split_feeds(raw.where(own == k))[0]
+        acct = split.split_feeds(raw.where((own == k) & (eid % mapping.WITHHOLD_ACCOUNTS_EVERY != 0)))[1]
+        late = eid % mapping.WITHHOLD_FRAUD_EVERY == 0
+        fraud = split.split_feeds(raw.where(own + late.cast("int") == k))[2]
+        for name, df in zip(FEEDS, (tx, acct, fraud), strict=True):
+            df.write.mode("append").parquet(f"{root}/{name}")
+        ledger_stream.run_ledger_stream(spark, root, sink, ckpt)
+    return sink
+
+
+@register("silver_stream_late", _ACCOUNTS + """
+SELECT transaction_id, step, 'transactions' AS feed, state FROM told
+UNION ALL SELECT transaction_id, step, 'accounts', state FROM told WHERE NOT lost
+UNION ALL SELECT transaction_id, step, 'fraud', state FROM told""")
+def q_silver_stream_late(spark, sf_dir):
+    """Every delivered row of several batches: matched, still pending, or late."""
+    return _deliveries(spark, sf_dir).accounted()
+
+
+@register("silver_stream_ledger", _ACCOUNTS + f"""
+, {O.SILVER_CTE}
+SELECT silver.* FROM silver JOIN told USING (transaction_id) WHERE state = 'matched'""")
+def q_silver_stream_ledger(spark, sf_dir):
+    """What the batches matched, read through the manifest after a compaction."""
+    return _deliveries(spark, sf_dir).read(ledger_stream.SILVER)
