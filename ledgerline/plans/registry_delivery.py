@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators import split
-from ledgerline.plans import silver_job, split_job
-from ledgerline.plans.registry import _bronze, register
+from ledgerline.operators.gold import GOLD_TABLES
+from ledgerline.operators.silver import build_silver
+from ledgerline.plans import gold_job, silver_job, split_job
+from ledgerline.plans.registry import _GOLD_MEASURES, ORACLES, _bronze, register
 from ledgerline.schemas import FEED_SCHEMAS, FEEDS, RAW_SCHEMA, SILVER_COLUMNS, STEP
 from ledgerline.session import scratch_path
-from ledgerline.sinks import bronze, writers
+from ledgerline.sinks import bronze, warehouse, writers
 from ledgerline.sinks import steps as step_sink
 from ledgerline.sources import delivered
 from ledgerline.streaming import ledger_stream
@@ -180,3 +182,22 @@ SELECT silver.* FROM silver JOIN told USING (transaction_id) WHERE state = 'matc
 def q_silver_stream_ledger(spark, sf_dir):
     """What the batches matched, read through the manifest after a compaction."""
     return _deliveries(spark, sf_dir).read(ledger_stream.SILVER)
+
+
+# ------------------------------------------------------------ warehouse round trip
+
+@register("warehouse_roundtrip", ORACLES["gold_refresh"])
+def q_warehouse_roundtrip(spark, sf_dir):
+    """The gold job into the warehouse source, published as one release, read back by table."""
+    silver_path, root = scratch_path(spark, "silver"), scratch_path(spark, "warehouse")
+    build_silver(*mapping.feeds(spark, sf_dir)).write.parquet(silver_path)
+    release = warehouse.new_release()
+    gold_job.run_gold(spark, silver_path, warehouse.to_release(spark, root, release))
+    warehouse.publish(spark, root, release, GOLD_TABLES)
+    out = None
+    for table, (measure, _) in _GOLD_MEASURES.items():
+        part = warehouse.read_warehouse(spark, root, table).agg(
+            F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+            F.sum(F.expr(measure)).cast("bigint").alias("covered"))
+        out = part if out is None else out.unionByName(part)
+    return out
