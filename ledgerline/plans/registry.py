@@ -386,6 +386,7 @@ def q_gold_refresh(spark, sf_dir):
 
 # ------------------------------------------------------- generic profile job
 
+# The sample's cities, categories and formulas, and the job's name below.
 _SAMPLE_SQL = """
 -- the generator's modulo is a floor modulo (ids may start at 0)
 SELECT c_custkey AS id, concat('Customer_', c_custkey) AS name,
@@ -408,9 +409,11 @@ def q_sample_customers(spark, sf_dir):
     return sample_customers(_customer_ids(spark, sf_dir))
 
 
-def _sample_csv(spark, sf_dir) -> str:
+def _sample_csv(spark, sf_dir, one_file: bool = False) -> str:
     path = scratch_path(spark, "sample_csv")
-    writers.write_any(sample_customers(_customer_ids(spark, sf_dir)), path, "csv")
+    sample = sample_customers(_customer_ids(spark, sf_dir))
+    writers.write_any(sample.orderBy("id") if one_file else sample, path, "csv",
+                      files=1 if one_file else None)
     return path
 
 
@@ -440,9 +443,10 @@ def q_profile_json(spark, sf_dir):
 
 
 def _profiled_output(spark, sf_dir) -> str:
+    """The profile job's output as one file, in order of the id."""
     out = scratch_path(spark, "profiled")
-    profile_job.run_profile(spark, _sample_csv(spark, sf_dir), out, "csv",
-                            FIXED_PROCESSED_AT)
+    profile_job.run_profile(spark, _sample_csv(spark, sf_dir, one_file=True), out, "csv",
+                            FIXED_PROCESSED_AT, files=1)
     return out
 
 

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators import split
+from ledgerline.operators import drift, split, verify
 from ledgerline.operators.gold import GOLD_TABLES
+from ledgerline.operators.profile import audit_columns
 from ledgerline.operators.silver import build_silver
 from ledgerline.plans import gold_job, silver_job, split_job
-from ledgerline.plans.registry import _GOLD_MEASURES, ORACLES, _bronze, register
+from ledgerline.plans.registry import (
+    FIXED_PROCESSED_AT, ORACLES, RETENTION_AS_OF, _bronze, _GOLD_MEASURES, _profiled_output, register)
 from ledgerline.schemas import FEED_SCHEMAS, FEEDS, RAW_SCHEMA, SILVER_COLUMNS, STEP
 from ledgerline.session import scratch_path
 from ledgerline.sinks import bronze, warehouse, writers
 from ledgerline.sinks import steps as step_sink
 from ledgerline.sources import delivered
+from ledgerline.sources.json_lines import read_json_lines
 from ledgerline.streaming import ledger_stream
 from ledgerline.testdata import mapping
 from ledgerline.testdata import oracle as O
@@ -201,3 +204,93 @@ def q_warehouse_roundtrip(spark, sf_dir):
             F.sum(F.expr(measure)).cast("bigint").alias("covered"))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ------------------------------------- verification, retention, drift, JSON read once
+
+#: A CSV line of the profiled sample, as Spark writes it.
+_PROFILED_CTES = """
+WITH lines AS (
+  SELECT id, concat_ws(',', id, name, age, city, purchase_amount, purchase_date, category, score,
+    strftime(processed_timestamp, '%Y-%m-%dT%H:%M:%S.%g'), processing_job, row_id,
+    name_upper, city_upper, category_upper) AS line
+  FROM (""" + ORACLES["profile_csv"] + """) p
+), head AS (
+  SELECT 'id,name,age,city,purchase_amount,purchase_date,category,score,processed_timestamp,'
+    || 'processing_job,row_id,name_upper,city_upper,category_upper' AS header
+), first AS (
+  SELECT line, row_number() OVER (ORDER BY id) - 1 AS n FROM lines ORDER BY id LIMIT 4
+)
+"""
+
+
+@register("verify_output", _PROFILED_CTES + """
+SELECT CAST(1 AS BIGINT) AS files, (SELECT count(*) FROM lines) AS rows,
+  (SELECT CAST(sum(strlen(line) + 1) AS BIGINT) FROM lines) AS data_bytes,
+  (SELECT CAST(sum(CAST(('0x' || substr(md5(line), 1, 15)) AS BIGINT)::HUGEINT) AS VARCHAR) FROM lines) AS digest,
+  header, header || chr(10) || (SELECT string_agg(line, chr(10) ORDER BY n) FROM first) AS preview, true AS ok
+FROM head""")
+def q_verify_output(spark, sf_dir):
+    """The report on a profile job's single output file, its preview as one text."""
+    report = verify.verify_output(spark, _profiled_output(spark, sf_dir))
+    return report.withColumn("preview", F.array_join("preview", "\n"))
+
+
+ORACLES["output_inventory"] = _PROFILED_CTES + """
+SELECT CAST(1 AS BIGINT) AS files, CAST(any_value(strlen(header)) + 1 + sum(strlen(line) + 1) AS BIGINT)
+  AS total_bytes, true AS ok FROM lines, head"""
+ORACLES["output_preview"] = _PROFILED_CTES + """
+SELECT CAST(0 AS INTEGER) AS line_no, header AS line FROM head
+UNION ALL SELECT CAST(n + 1 AS INTEGER), line FROM first"""
+
+
+@register("expired_files", O.BASE + f"""
+SELECT f.feed AS "table", step,
+  timestamp '2025-01-01 00:00:00' + to_hours(step + 1) <= timestamp '{RETENTION_AS_OF}' - INTERVAL 7 DAY AS expired
+FROM (SELECT DISTINCT step FROM tx), (VALUES ('transactions'), ('accounts'), ('fraud')) f(feed)""")
+def q_expired_files(spark, sf_dir):
+    """Every step folder of the bronze feeds, and whether it expires as a whole."""
+    return verify.step_folders(spark, _bronze(spark, sf_dir), RETENTION_AS_OF).select(
+        "table", STEP, "expired")
+
+
+@register("schema_drift", O.with_ctes(O.RAW_CTE) + """, n AS (
+  SELECT count(*) AS rows, count(*) FILTER (event_id % 3 = 0) AS whole,
+         count(*) FILTER (event_id % 3 = 1) AS wide FROM raw)
+SELECT 'event_id' AS "column", 'int' AS type, 'int' AS seen, CAST(3 AS BIGINT) AS files, rows AS filled, rows FROM n
+UNION ALL SELECT 'amount', 'double', 'double,int', 3, rows, rows FROM n
+UNION ALL SELECT 'ts', 'timestamp', 'date,timestamp', 3, rows, rows FROM n
+UNION ALL SELECT 'type', 'string', 'string', 3, rows, rows FROM n
+UNION ALL SELECT 'isFraud', 'string', 'boolean,int', 3, rows, rows FROM n
+UNION ALL SELECT 'channel', 'bigint', 'bigint', 1, wide, wide FROM n
+UNION ALL SELECT 'note', 'void', 'void', 1, 0, whole FROM n""")
+def q_schema_drift(spark, sf_dir):
+    """Three deliveries of the same table whose columns and value types differ."""
+    raw, eid = mapping.raw_events(spark, sf_dir), F.col("event_id")
+    hour = F.timestamp_add("HOUR", F.col(STEP), F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"))
+    stamp, day = F.date_format(hour, "yyyy-MM-dd HH:mm:ss"), F.date_format(hour, "yyyy-MM-dd")
+    whole = F.floor("amount").cast("string")
+    label = F.when(F.col("isFraud") == 1, "true").otherwise("false")
+    root = scratch_path(spark, "drifting")
+    shapes = {
+        0: [eid, whole.alias("amount"), day.alias("ts"), F.col("type"), F.col("isFraud"),
+            F.lit(None).cast("string").alias("note")],
+        1: [F.col("type"), eid, F.concat(whole, F.lit(".5")).alias("amount"), stamp.alias("ts"),
+            F.col("isFraud"), (eid + 5_000_000_000).alias("channel")],
+        2: [eid, F.col("type"), F.concat(whole, F.lit(".25")).alias("amount"), stamp.alias("ts"),
+            label.alias("isFraud")]}
+    for k, columns in shapes.items():
+        part = raw.where(eid % 3 == k).select(*columns)
+        writers.write_any(part, f"{root}/delivery{k}", "csv", files=1)
+    lines = delivered.read_lines(spark, root, recursive=True)
+    return drift.schema_drift(drift.file_columns(lines))
+
+
+@register("profile_json_variant", ORACLES["profile_json"])
+def q_profile_json_variant(spark, sf_dir):
+    """The JSON profile without an inference pass: the input is read once."""
+    path = scratch_path(spark, "tx_json")
+    writers.write_any(mapping.feeds(spark, sf_dir)[0], path, "json")
+    got = read_json_lines(spark, path)
+    return got.rows.select("*", *audit_columns(FIXED_PROCESSED_AT),
+                           F.lit(got.n_rows).cast("bigint").alias("record_count"))
