@@ -28,11 +28,44 @@ def test_ids_equal_the_library(library):
 
 
 def test_small_caches_change_nothing(library, monkeypatch):
-    monkeypatch.setattr(P, "CACHE_WORDS", 3)
+    monkeypatch.setattr(P, "CACHE_BYTES", 200)
     monkeypatch.setattr(P, "CACHE_PAIRS", 2)
+    monkeypatch.setattr(P, "LONG_WORD", 40)
+    monkeypatch.setattr(P, "HASH_BYTES", 64)
     pieces = P.Pieces(P.model_bytes())
-    for text in ODD:
+    for text in ODD * 2 + ["the same words as the words of the text " * 9]:
         assert pieces.encode([text])[0].tolist() == library.encode(text)
+    flat, off = pieces.encode(ODD)
+    assert [flat[a:z].tolist() for a, z in zip(off, off[1:])] == library.encode(ODD)
+
+
+def test_marks_in_a_text_count_as_spaces(library):
+    pieces = P.Pieces(P.model_bytes())
+    texts = ["a\u2581b", "\u2581", "x \u2581 y", "plain"]
+    flat, off = pieces.encode(texts)
+    assert [flat[a:z].tolist() for a, z in zip(off, off[1:])] == library.encode(texts)
+
+
+def test_long_words_stay_within_bounds(library):
+    """Texts without spaces: words of 20,000 characters are cut, not remembered."""
+    rng = random.Random(8)
+    pieces = P.Pieces(P.model_bytes())
+    for _ in range(30):
+        text = "".join(rng.choices("abcdefghijklmnop日é", k=20_000))
+        assert pieces.encode([text])[0].tolist() == library.encode(text)
+    assert pieces._words.nbytes() < 1000 and len(pieces._pairs) <= P.CACHE_PAIRS + 20_000
+
+
+def test_forgetting_keeps_the_used_words(library, monkeypatch):
+    monkeypatch.setattr(P, "CACHE_BYTES", 20_000)
+    pieces = P.Pieces(P.model_bytes())
+    rng = random.Random(4)
+    for k in range(40):
+        texts = ["common words come again " + "".join(rng.choices("abcdefgh ", k=200)) for _ in range(5)]
+        flat, off = pieces.encode(texts)
+        assert [flat[a:z].tolist() for a, z in zip(off, off[1:])] == library.encode(texts)
+        assert pieces._words.nbytes() <= 20_000
+    assert pieces._words.used.max() >= 10
 
 
 def test_unigram_state_is_the_best_sum():
