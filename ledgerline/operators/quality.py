@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,14 @@ def reconcile(raw: DataFrame | int, feeds: Mapping[str, DataFrame]) -> DataFrame
                       "batches", (missing == 0).alias("ok"))
 
 
+def reconcile_counts(spark: SparkSession, rows_in: int, rows_out: Mapping[str, int],
+                     batches: Mapping[str, int]) -> DataFrame:
+    """The report of :func:`reconcile` from counts taken while the feeds were written."""
+    report = [(f, rows_in, n, rows_in - n, batches[f], rows_in == n) for f, n in rows_out.items()]
+    return spark.createDataFrame(report, "feed string, rows_in bigint, rows_out bigint, "
+                                         "missing bigint, batches bigint, ok boolean")
+
+
 def feed_completeness(feeds: Mapping[str, DataFrame],
                       expected_steps: DataFrame | None = None) -> DataFrame:
     """Which feeds delivered each step: ``step, has_<feed>..., complete``.

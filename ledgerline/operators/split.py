@@ -42,7 +42,7 @@ def ids_keep_step_layout(partitions: int, n_steps: int) -> bool:
 
 def with_transaction_id(raw: DataFrame, order_by: list[str] | None = None, *,
                         partitions: int | None = None, n_steps: int | None = None,
-                        id_col: str = KEY) -> DataFrame:
+                        id_col: str = KEY, stored: str | None = None) -> DataFrame:
     """Add ``transaction_id = TXN-{step}-{n}``, ``n`` = 0-based rank in the step.
 
     The rank follows ``order_by`` (default: every column, so equal ranks can
@@ -61,7 +61,8 @@ def with_transaction_id(raw: DataFrame, order_by: list[str] | None = None, *,
     4. the summary is joined back; it is broadcast only when that bound is
        known to be small (``n_steps`` is counted if not given).
 
-    The sorted rows are stored once below the shared checkpoint folder, and
+    The sorted rows are stored once below the shared checkpoint folder (or at
+    ``stored``; the caller drops it when the result is no longer read), and
     both the summary and the numbering read that copy: they always see the same
     partitions, whatever the planner does. With the broadcast, the result keeps the stored ranges:
     rows clustered by ``step`` (:func:`ids_keep_step_layout`),
@@ -81,7 +82,7 @@ def with_transaction_id(raw: DataFrame, order_by: list[str] | None = None, *,
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id())
               .drop(TIEBREAK))
-    stored = scratch_path(raw.sparkSession, "ranked")
+    stored = stored or scratch_path(raw.sparkSession, "ranked")
     ranked.write.parquet(stored)
     ranked = raw.sparkSession.read.schema(ranked.schema).parquet(stored)
 

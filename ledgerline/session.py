@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -54,7 +55,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster has executors of its own
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a folder on shared storage "
                 "(HDFS, object store) that every executor and the driver can reach")

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.quality import feed_completeness
@@ -114,18 +114,24 @@ def write_warehouse(df: DataFrame, table: str, options: Mapping[str, str],
 
 
 def write_feeds(feeds: Mapping[str, DataFrame], root: str, fmt: str = "csv",
-                partitions: int | None = None, cluster: bool = True) -> None:
+                partitions: int | None = None, cluster: bool = True) -> dict[str, int]:
     """Each feed to ``<root>/<feed>/step=<n>/``; each feed folder is reset
     first, like the source split does (whole-table overwrite).
 
     ``cluster=False`` writes the feeds in their current layout, for inputs
     that are already range-partitioned and sorted by ``step`` (as the output
     of :func:`ledgerline.operators.split.with_transaction_id` is): no shuffle
-    per feed, and still about one file per step and task.
+    per feed, and still about one file per step and task. Returns the rows with
+    a step that each feed's write counted while writing.
     """
+    rows = {}
     for name, df in feeds.items():
+        seen = Observation(f"feed-{name}")
         write_batch(df, f"{root.rstrip('/')}/{name}", mode="overwrite", fmt=fmt,
-                    partitions=partitions, cluster=cluster)
+                    partitions=partitions, cluster=cluster,
+                    observe=(seen, F.count(F.col(STEP)).alias("rows")))
+        rows[name] = seen.get["rows"]
+    return rows
 
 
 class IncompleteBatchError(RuntimeError):

@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.folders import Folders
 from ledgerline.schemas import FEED_SCHEMAS, FEEDS, RAW_SCHEMA, STEP, with_step
 
 
@@ -25,15 +26,21 @@ def select_batch(df: DataFrame, steps: Iterable[int] | int | None) -> DataFrame:
     return df.filter(F.col(STEP).isin(list(steps)))
 
 
+#: From this many steps on, the base folder is listed once instead of asking for each step.
+LIST_FROM = 8
+
+
 def step_paths(spark: SparkSession, base: str, steps: Iterable[int]) -> list[str]:
-    """The folders of the given steps that exist below ``base``."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    found = []
-    for step in dict.fromkeys(steps):
-        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{STEP}={int(step)}")
-        if path.getFileSystem(conf).exists(path):
-            found.append(f"{base}/{STEP}={int(step)}")
-    return found
+    """The folders of the given steps that exist below ``base``.
+
+    A few steps are asked for one by one, whatever the history holds; for more
+    the base folder is listed once.
+    """
+    folders, names = Folders(spark), [f"{STEP}={int(s)}" for s in dict.fromkeys(steps)]
+    if len(names) < LIST_FROM:
+        return [f"{base}/{n}" for n in names if folders.exists(f"{base}/{n}")]
+    there = set(folders.names(base))
+    return [f"{base}/{n}" for n in names if n in there]
 
 
 def read_feed(spark: SparkSession, root: str, feed: str,
