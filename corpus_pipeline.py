@@ -55,6 +55,7 @@ def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Returns doc_id, lang, source, n_chars, n_tokens, ids, decoded; a null text
     has null ids, n_tokens 0 and a null decoded text.
     """
+    docs = docs.select("doc_id", "lang", "source", "n_chars", "text")
     coded = encode_pieces(docs, model_bytes(), decoded_col="decoded")
     return coded.select("doc_id", "lang", "source", "n_chars",
                         F.greatest(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
