@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_path
@@ -42,6 +42,40 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def numbered(nodes: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``nodes`` with ``rank`` (from 0) in their group and the group's ``total``.
+
+    A range sort spreads even a group that holds all rows; the sorted copy is
+    stored, and each partition's share of a group gets its offset from a
+    summary of at most partitions + groups rows. Equal rows may take each
+    other's rank.
+    """
+    cols = [F.col(group)] + [F.col(c).asc_nulls_first() for c in order]
+    at = F.monotonically_increasing_id()
+    laid = (nodes.withColumn("_in", at).repartitionByRange(*cols, F.col("_in"))
+            .sortWithinPartitions(*cols, F.col("_in")).drop("_in")
+            .withColumn("_part", F.spark_partition_id()).withColumn("_at", at))
+    laid = cut(laid, "ordered")
+    runs = laid.groupBy("_part", group).agg(F.min("_at").alias("_first"),
+                                            F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(group)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = cut(runs.select("_part", group, "_first", F.sum("_n").over(whole).alias("total"),
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")),
+               "ordered-runs")
+    rank = F.col("_before") + F.col("_at") - F.col("_first")
+    return (laid.join(small(runs), ["_part", group]).withColumn("rank", rank)
+            .drop("_part", "_at", "_first", "_before"))
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(col):
     """Lower-case A-Z only."""
     return F.translate(col, _UPPER, _LOWER)

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, table, text_only
 
@@ -22,6 +23,15 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def orderable(kind: T.DataType) -> bool:
+    """Whether values of this type can be compared."""
+    if isinstance(kind, T.StructType):
+        return all(orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _winners(rows: DataFrame, salts: int) -> DataFrame:
     """(digest, text) -> largest id, rows; ``rows`` has doc_id, text and digest."""
     local = rows.withColumn("salt", F.spark_partition_id() % salts)
@@ -81,8 +91,13 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                  F.col(text_col).isNotNull().alias("present")).alias("_row"),
         (F.spark_partition_id() % salts).alias("_salt"))
     rows = rows.withColumn("_digest", sha256(F.col("_text")))
-    salted = rows.groupBy("_digest", "_salt", "_text").agg(F.max("_row").alias("_row"))
-    won = salted.groupBy("_digest", "_text").agg(F.max("_row").alias("_row"))
+    # columns that have no order (maps) count by their text
+    order = F.struct(*[F.col(f"_row.c{i}") if orderable(docs.schema[c].dataType) else
+                       F.col(f"_row.c{i}").cast("string") for i, c in enumerate(first)], "_row.present")
+    rows = rows.withColumn("_order", order)
+    salted = rows.groupBy("_digest", "_salt", "_text").agg(
+        F.max_by("_row", "_order").alias("_row"), F.max("_order").alias("_order"))
+    won = salted.groupBy("_digest", "_text").agg(F.max_by("_row", "_order").alias("_row"))
     text = F.when(F.col("_row.present"), F.col("_text"))
     at = {c: F.col(f"_row.c{i}") for i, c in enumerate(first)}
     return won.select(*[(text if c == text_col else at[c]).alias(c) for c in docs.columns])

@@ -135,7 +135,7 @@ def fit_language(docs: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
 def label_words(model: dict, w: Words, switch: float = SWITCH) -> np.ndarray:
     """The language number of each word: the best path of each text, ties to the first language."""
     n, langs = len(w.start), len(model["langs"])
-    label = np.zeros(n, np.int8)
+    label = np.zeros(n, np.int32)
     if not n:
         return label
     score = np.add.reduceat(model["logp"][w.gram], w.first, axis=0) + model["bar"][w.script]
@@ -143,7 +143,7 @@ def label_words(model: dict, w: Words, switch: float = SWITCH) -> np.ndarray:
     order = np.argsort(-count, kind="stable")
     first, count = w.range[:-1][order], count[order]
     stay = np.ones((n, langs), bool)
-    jump = np.zeros(n, np.int8)
+    jump = np.zeros(n, np.int32)
     active = int((count > 0).sum())
     best = score[first[:active]].copy()
     for t in range(1, int(count[0])):  # all texts that have a word t, side by side

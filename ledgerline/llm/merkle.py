@@ -10,10 +10,10 @@ and the rounds grow with the logarithm of the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, small, table
+from .common import ascii_lower, cut, numbered, table
 
 #: Nodes hashed into one parent, and levels kept in one block.
 FAN, LEVELS = 8, 3
@@ -39,32 +39,6 @@ def leaf(*values: Column) -> Column:
     return digest(F.concat(*[field(v) for v in values]))
 
 
-def numbered(nodes: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """``nodes`` with ``rank`` (from 0) in their group and the group's ``total``.
-
-    A range sort spreads even a group that holds all rows; the sorted copy is
-    stored, and each partition's share of a group gets its offset from a
-    summary of at most partitions + groups rows. Equal rows may take each
-    other's rank.
-    """
-    cols = [F.col(group)] + [F.col(c).asc_nulls_first() for c in order]
-    at = F.monotonically_increasing_id()
-    laid = (nodes.withColumn("_in", at).repartitionByRange(*cols, F.col("_in"))
-            .sortWithinPartitions(*cols, F.col("_in")).drop("_in")
-            .withColumn("_part", F.spark_partition_id()).withColumn("_at", at))
-    laid = cut(laid, "merkle-order")
-    runs = laid.groupBy("_part", group).agg(F.min("_at").alias("_first"),
-                                            F.count(F.lit(1)).alias("_n"))
-    whole = Window.partitionBy(group)
-    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = cut(runs.select("_part", group, "_first", F.sum("_n").over(whole).alias("total"),
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")),
-               "merkle-runs")
-    rank = F.col("_before") + F.col("_at") - F.col("_first")
-    return (laid.join(small(runs), ["_part", group]).withColumn("rank", rank)
-            .drop("_part", "_at", "_first", "_before"))
-
-
 def parents(level: Column) -> Column:
     """The next level's string: the hash of each run of ``FAN`` digests."""
     runs = F.floor((F.length(level) - 1) / RUN).cast("int")

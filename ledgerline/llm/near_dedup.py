@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (_rng_table, cut, mix, slices, small, table, text_bytes, text_only,
-                     token_bounds, word_hashes)
+                     token_bounds, unused, word_hashes)
 from .components import connected_components
 
 PERMS = 128
@@ -322,9 +322,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     that go are anti-joined (broadcast when a count shows that they are few).
     """
     found = near_duplicates(docs, id_col, text_col, k, threshold)
+    name = unused("_gone", docs)
     gone = cut(found.where("NOT kept AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(small(gone), F.col(id_col) == F.col("_gone"), "left_anti")
+        F.col("doc_id").alias(name)).distinct(), "near-copies")
+    return docs.join(small(gone), F.col(f"`{id_col}`") == F.col(name), "left_anti")
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -404,8 +404,10 @@ def encode_pieces(docs: DataFrame, model: bytes, kind: str = "bpe", text_col: st
     are encoded whole. ``model`` is the file's content (a vocabulary, of the
     order of a megabyte, sent with the task). With ``decoded_col`` the ids are
     also decoded again, in the same pass. Rows are independent: repeated ones
-    give equal results, an empty table an empty one; other columns are kept.
+    give equal results, an empty table an empty one; other columns are kept, but
+    those named like the new ones give way.
     """
+    docs = docs.drop(*[c for c in (out_col, decoded_col) if c and c != text_col])
     added = [T.StructField(out_col, T.ArrayType(T.IntegerType()))]
     if decoded_col:
         added.append(T.StructField(decoded_col, T.StringType()))
@@ -430,8 +432,10 @@ def decode_pieces(docs: DataFrame, model: bytes, ids_col: str = "ids",
     """``docs`` with the text of its piece ids; null ids give a null text.
 
     Exact for every text without the mark character itself (U+2581), which
-    SentencePiece cannot tell from a space.
+    SentencePiece cannot tell from a space. Repeated rows give equal texts, an
+    empty table an empty one; a column named like the new one gives way.
     """
+    docs = docs.drop(out_col) if out_col != ids_col else docs
     schema = T.StructType([*docs.schema.fields, T.StructField(out_col, T.StringType())])
     at = docs.columns.index(ids_col)
 

@@ -142,15 +142,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
 
     ``labels`` has doc_id and quality (0/1); rows with a null in either, or
     with another quality, are left out; of repeated doc_ids the smallest
-    quality counts.
+    quality counts, of a doc_id's several texts the one with the smallest features.
     """
     chosen = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality")
               .where("doc_id IS NOT NULL AND quality IN (0, 1)")
               .where(fold(F.col("doc_id")) != 0)
               .groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    # at most fit_rows rows of two numbers: a proven bound for the broadcast
+    # at most fit_rows rows of two numbers: a proven bound for the broadcast; a doc_id that
+    # stands in docs several times is one row (its smallest features) before any reaches the driver
     rows = (features_of(text_only(docs).join(F.broadcast(chosen), "doc_id", "left_semi"))
+            .groupBy("doc_id").agg(F.min("features").alias("features"))
             .join(F.broadcast(chosen), "doc_id").orderBy("doc_id").toPandas())
     x = np.array(rows["features"].tolist(), float).reshape(len(rows), len(FEATURES))
     return fit_bradley_terry(x, rows["quality"].to_numpy())

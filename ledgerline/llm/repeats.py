@@ -26,10 +26,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mix, slices, table, text_bytes, text_only
+from .common import cut, mix, numbered, slices, table, text_bytes, text_only
 
 LENGTH = 100
 GRAM = 32
@@ -435,12 +435,10 @@ def _numbered(docs: DataFrame) -> DataFrame:
     alike = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
     if not alike.limit(1).count():
         return docs.withColumn("ord", F.col("doc_id"))
-    low, high = (x or 0 for x in docs.select(F.min("doc_id"), F.max("doc_id")).first())
-    if high - low >= (1 << 40):
-        raise ValueError("repeated doc_ids over a range of 2**40 or more")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return cut(docs.withColumn("ord", F.coalesce(F.col("doc_id") - low, F.lit(high - low + 1))
-                               * (1 << 22) + place), "numbered")
+    # numbered by a range sort, whatever the ids and however often one stands there
+    laid = docs.select("doc_id", "text", F.col("doc_id").isNull().alias("last"), F.lit(0).alias("all"))
+    placed = numbered(laid, "all", ["last", "doc_id", "text"])
+    return cut(placed.select("doc_id", "text", F.col("rank").alias("ord")), "numbered")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT,

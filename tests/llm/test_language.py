@@ -88,3 +88,19 @@ def test_nothing_learned_predicts_und(spark):
         model = L.fit_language(docs)
         assert model["langs"] == []
         assert {r.lang_pred for r in L.language_spans(df, model).collect()} == {"und"}
+
+
+def test_three_hundred_languages(spark):
+    """No number of languages wraps around: each is told by its own words."""
+    def words(k):
+        alphabet = "abcdefghijklmnopqrstuvwxyz"
+        return [alphabet[k % 26] + alphabet[k // 26 % 26] + alphabet[(k * 7 + j) % 26] * 2
+                + alphabet[(k // 3 + j) % 26] for j in range(6)]
+    rows = [(k + 300 * c, " ".join(words(k) * 3), f"l{k:03d}") for k in range(300) for c in range(8)]
+    df = frame(spark, rows)
+    model = L.fit_language(df)
+    assert len(model["langs"]) == 300
+    got = L.language_spans(df, model).join(
+        df.select("doc_id", F.col("lang").alias("true")), "doc_id")
+    wrong = got.where(F.col("lang_pred") != F.col("true")).select("true").distinct().count()
+    assert wrong == 0

@@ -78,3 +78,16 @@ def test_no_labels_reject_nothing(spark):
         model = Q.fit_quality(df, labels)
         assert Q.keep_quality(df, model).count() == 2
         assert all(r.predicted == 1 for r in Q.quality_scores(df, model).collect())
+
+
+def test_copies_of_a_labelled_id_are_one_row_for_the_fit(spark, monkeypatch):
+    """However often a labelled id stands in the documents, ``fit_rows`` bounds what is collected."""
+    seen = []
+    real = Q.fit_bradley_terry
+    monkeypatch.setattr(Q, "fit_bradley_terry", lambda x, y: seen.append(len(x)) or real(x, y))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:12]
+    copies = spark.range(100_000).select(F.lit(ids[0]).alias("doc_id"), F.lit("the same text again.").alias("text"))
+    docs = copies.unionByName(spark.createDataFrame([(i, f"text {i} of some words.") for i in ids], "doc_id bigint, text string"))
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id bigint, quality int")
+    Q.fit_quality(docs, labels, fit_rows=10)
+    assert seen == [10]

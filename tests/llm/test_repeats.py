@@ -74,6 +74,17 @@ def test_repeated_and_missing_ids(spark):
     assert got == [(False, 1, first), (False, 5, n), (False, 5, n), (True, 0, n)]
 
 
+def test_repeated_ids_at_both_ends_of_bigint(spark):
+    t = "the same long text over and over " * 6
+    rows = [(-2**63, "a" + t), (2**63 - 1, t), (2**63 - 1, t), (0, "c" + t), (None, t)]
+    df = spark.createDataFrame([(i, x, "", "", "") for i, x in rows], SCHEMA)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_removed) for r in R.remove_repeats(df).collect())
+    n = len(t)
+    first = brute([(1, "a" + t)], 100)[0][1]
+    assert got == [(False, -2**63, first), (False, 0, n), (False, 2**63 - 1, n),
+                   (False, 2**63 - 1, n), (True, 0, n)]
+
+
 def test_empty_table(spark):
     out = R.remove_repeats(spark.createDataFrame([], SCHEMA))
     assert out.count() == 0 and "kept_sha256" in out.columns
