@@ -4,7 +4,6 @@ import hashlib
 import zlib
 from collections import defaultdict
 
-import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import merkle as M
@@ -84,10 +83,11 @@ def test_odd_rows_equal_brute_force(spark):
     assert found(frame(spark, ODD)) == brute(ODD)
 
 
-@pytest.mark.parametrize("n", [1, 8, 9, 64, 65])
-def test_small_trees(spark, n):
-    rows = [(i, "s", "en", i, f"Text {i}") for i in range(n)]
+def test_small_trees(spark):
+    """Groups of each size beside one another, and a single leaf that is its own root."""
+    rows = [(i, "s", f"l{n}", i, f"Text {i}") for n in (1, 2, 7, 8, 9, 63, 64, 65, 512, 513) for i in range(n)]
     assert found(frame(spark, rows)) == brute(rows)
+    assert found(frame(spark, rows[:1])) == brute(rows[:1])
 
 
 def test_several_blocks_and_many_groups(spark):
