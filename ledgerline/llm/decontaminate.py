@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, slices, table, text_bytes, text_only, token_bounds, word_hashes
+from .common import cut, mix, slices, table, text_bytes, text_only, token_bounds, word_hashes
 
 WINDOW = 5
 COVERAGE = 0.8  # share of an item's windows that make a leak
@@ -432,8 +432,10 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, k: int):
         .where("item_id IS NOT NULL AND text IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES)
+    if blocks > 1:  # dealt out row by row, so many rows of one item_id do not meet in a block
+        items = cut(items.repartition(blocks).withColumn("block", F.spark_partition_id()), "items")
     for b in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b) \
+        part = (items.where(F.col("block") == b) if blocks > 1 else items) \
             .orderBy("item_id", "text").collect()
         yield Items([r.item_id for r in part], [r.text for r in part], k)
 

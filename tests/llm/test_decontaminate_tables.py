@@ -120,3 +120,14 @@ def test_blocks_change_nothing(spark, monkeypatch):
     whole = sorted(map(tuple, D.contaminated(docs, items).collect()))
     monkeypatch.setattr(D, "BLOCK_BYTES", 300)
     assert sorted(map(tuple, D.contaminated(docs, items).collect())) == whole and len(whole) == 9
+
+
+def test_one_item_id_in_many_rows_stays_within_a_block(spark, monkeypatch):
+    """Blocks are dealt by rows: thousands of rows of one id are spread over them, and all are found."""
+    monkeypatch.setattr(D, "BLOCK_BYTES", 20_000)
+    rows = [(7, f"number {i} of the questions about the long river {i * 7} asks how deep it is") for i in range(1000)]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    sizes = [len(b.ids) for b in D._blocks(items, "item_id", "text", D.WINDOW)]
+    assert sum(sizes) == 1000 and len(sizes) > 2 and max(sizes) <= 1000 // len(sizes) + 20
+    docs = spark.createDataFrame([(1, rows[3][1]), (2, "nothing of the kind")], "doc_id bigint, text string")
+    assert D.contaminated(docs, items).select("doc_id").distinct().collect()[0][0] == 1

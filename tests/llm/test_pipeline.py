@@ -108,3 +108,12 @@ def test_clashing_column_names(spark):
         assert ids(odd) == ids(plain), name
         if name != "pieces":
             assert odd.columns == more.columns and odd.where("_gone = 'x' AND m['k'] = doc_id").count() == plain.count()
+
+
+def test_phrases_of_a_few_words_remove_nothing(spark, tmp_path):
+    """An item of fewer words than the stated least removes no document, a longer one does."""
+    items = [(1, "yes"), (2, "Name it now"), (3, "Which river runs past the old mill of Ersatz?")]
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(
+        [(1, "yes, name it now."), (2, "so: " + items[2][1] + " yes"), (3, None)], "doc_id bigint, text string")
+    assert ids(C.decontamination_stage(spark, docs, str(tmp_path))) == [1, 3]
