@@ -18,6 +18,10 @@ from ledgerline.llm.pieces import encode_pieces, model_bytes
 from ledgerline.llm.quality import fit_quality, keep_quality
 
 
+#: Words that a benchmark item must have to remove documents.
+LEAST_WORDS = 4
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go.
 
@@ -45,8 +49,14 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak a benchmark item go; null and empty texts stay."""
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that leak a benchmark item go; null and empty texts stay.
+
+    Items of fewer than ``LEAST_WORDS`` words are not looked for here: such a
+    phrase stands in many clean documents.
+    """
+    items = table(spark, sf_dir, "benchmark")
+    words = F.size(F.regexp_extract_all("text", F.lit(r"([0-9A-Za-z\x{80}-\x{10FFFF}]+)")))
+    return drop_contaminated(docs, items.where(words >= LEAST_WORDS))
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
