@@ -17,7 +17,8 @@ class Folders:
 
     def _at(self, path: str):
         where = self._fs.Path(path)
-        store = path[:path.find("/", path.find("://") + 3)] if "://" in path else ""
+        # scheme and authority, as far as the path has them
+        store = "/".join(path.split("/", 3)[:3]) if "://" in path else path.split("/", 1)[0]
         if store not in self._systems:
             self._systems[store] = where.getFileSystem(self._conf)
         return self._systems[store], where

@@ -54,7 +54,7 @@ def file_columns(lines: DataFrame, csv_options: Mapping[str, str] | None = None,
     A file's first line is its header. Lines with another number of fields than
     it are left to :func:`~ledgerline.sources.delivered.rescue` to report.
     """
-    options = {**D._CSV, **(csv_options or {})}
+    options = {**D.CSV, **(csv_options or {})}
     line = F.regexp_replace(D.LINE, "\\r$", "")
     first = lines.groupBy(D.FILE).agg(F.min(F.struct(D.BLOCK, D.POS, line.alias("l"))).alias("_first"))
     names = F.transform(F.split("_first.l", ","), lambda c: F.trim(F.regexp_replace(c, '^\\s*"|"\\s*$', "")))

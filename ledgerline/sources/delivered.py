@@ -23,7 +23,7 @@ PLACE = (FILE, BLOCK, POS, SIZE)
 FAILED, WHOLE = "_failed", "_whole_line"
 
 #: A line break inside a value is not supported, as in Spark's CSV reader by default.
-_CSV = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+CSV = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], recursive: bool = False,
@@ -90,7 +90,7 @@ def rescue(lines: DataFrame, schema: T.StructType, max_files: int = 100_000,
     Two scans of the lines: one for the headers, one for the rows. The header
     table (a row per file) is broadcast up to ``max_files`` files, counted.
     """
-    options = {**_CSV, **(csv_options or {})}
+    options = {**CSV, **(csv_options or {})}
     names = schema.fieldNames()
     heads = headers(lines, names)
     sizes = {r["width"]: r["files"] for r in
