@@ -471,7 +471,8 @@ def q_silver_stream(spark, sf_dir):
     ckpt = scratch_path(spark, "silver_stream_ckpt")
     stream.run_silver_stream_once(spark, bronze, sink, ckpt, fmt="parquet",
                                   watermark="2 hours",
-                                  state_partitions=spark.sparkContext.defaultParallelism)
+                                  state_partitions=spark.sparkContext.defaultParallelism,
+                                  count_state=False)
     return _read_silver(spark, sink)
 
 
@@ -483,7 +484,7 @@ def q_silver_stream_bounded(spark, sf_dir):
     ckpt = scratch_path(spark, "silver_stream_ckpt")
     stream.run_silver_stream_once(spark, bronze, sink, ckpt, fmt="parquet",
                                   state_partitions=spark.sparkContext.defaultParallelism,
-                                  max_files_per_trigger=STREAM_FILES)
+                                  max_files_per_trigger=STREAM_FILES, count_state=False)
     return _read_silver(spark, sink)
 
 
